@@ -114,3 +114,518 @@ def _delay_best_offset(t):
 def _route_performance(t):
     """Route KPI mart."""
     return kpi.route_performance(delay_best(t), t.rt_updates, t.trips)
+
+
+# ---- imports for the wider catalog -----------------------------------------
+from headway.operators import audits as AU  # noqa: E402
+from headway.operators import coverage as CV  # noqa: E402
+from headway.operators import extracts as EX  # noqa: E402
+from headway.operators import risk as RK  # noqa: E402
+from headway.operators import weather as W  # noqa: E402
+from headway.operators import windows as WN  # noqa: E402
+from headway.sources import fixtures as FX  # noqa: E402
+from headway.sources import realtime as RT  # noqa: E402
+from headway.sources import weather as WS  # noqa: E402
+
+
+def route_perf(t: TransitTables) -> DataFrame:
+    return kpi.route_performance(delay_best(t), t.rt_updates, t.trips)
+
+
+def stop_perf(t: TransitTables) -> DataFrame:
+    return kpi.stop_performance(delay_best(t), route_perf(t))
+
+
+def route_hour(t: TransitTables) -> DataFrame:
+    return kpi.route_hour_performance(delay_best(t), t.rt_updates, t.trips)
+
+
+def enriched(t: TransitTables) -> DataFrame:
+    return W.enrich_weather(delay_best(t), t.weather)
+
+
+def hour_day(t: TransitTables) -> DataFrame:
+    return RK.hour_day_reliability(delay_best(t))
+
+
+def events_mart(t: TransitTables) -> DataFrame:
+    return WN.event_window_impact(enriched(t), t.event_windows)
+
+
+def alerts_mart(t: TransitTables) -> DataFrame:
+    return WN.disruption_association(enriched(t), t.alert_windows)
+
+
+def risk(t: TransitTables) -> DataFrame:
+    return RK.risk_forecast(route_hour(t), t.weather, FX.AS_OF)
+
+
+def aligned_ordinal(t: TransitTables) -> DataFrame:
+    return A.align_ordinal(A.rt_sequence(t.rt_updates), A.static_sequence(t.stop_times), t.trips, t.stops)
+
+
+def desc(c: str):
+    return F.desc_nulls_last(c)
+
+
+def asc(c: str):
+    return F.asc_nulls_last(c)
+
+
+# ---- alignment variants ------------------------------------------------------
+
+@query("align_ordinal")
+def _align_ordinal(t):
+    """Naive ordinal alignment rt_seq = static_seq (K1)."""
+    return aligned_ordinal(t)
+
+
+@query("delay_ordinal")
+def _delay_ordinal(t):
+    """Delay layer over the naive alignment (K9)."""
+    return DL.delay_layer(aligned_ordinal(t))
+
+
+@query("align_circular")
+def _align_circular(t):
+    """Best offset by mean circular seconds error, no trips filter (K6)."""
+    return A.align_best_offset(t.rt_updates, t.stop_times, t.trips, t.stops, scorer="circular_seconds", require_trip=False)
+
+
+@query("best_offset_by_rows")
+def _best_offset_by_rows(t):
+    """Best offset by aligned row count (K7)."""
+    rt_seq, st_seq = A.rt_sequence(t.rt_updates), A.static_sequence(t.stop_times)
+    cand = A.offset_candidates(t.rt_updates, t.stop_times, t.trips)
+    return A.best_offsets(A.score_offsets(rt_seq, st_seq, cand, "aligned_rows"), "aligned_rows")
+
+
+# ---- marts ----------------------------------------------------------------
+
+@query("stop_performance")
+def _stop_performance(t):
+    """Stop KPI mart."""
+    return stop_perf(t)
+
+
+@query("route_hour_performance")
+def _route_hour_performance(t):
+    """Route-hour KPI mart."""
+    return route_hour(t)
+
+
+@query("unmatched_trips")
+def _unmatched_trips(t):
+    """Observed trips missing from the delay layer."""
+    return kpi.unmatched_trips(t.rt_updates, delay_best(t))
+
+
+@query("delay_weather_enriched")
+def _delay_weather_enriched(t):
+    """Delay rows with hourly weather."""
+    return enriched(t)
+
+
+@query("weather_impact")
+def _weather_impact(t):
+    """KPIs per precipitation bucket."""
+    return W.weather_impact(enriched(t))
+
+
+@query("route_weather_impact")
+def _route_weather_impact(t):
+    """KPIs per route and precipitation bucket."""
+    return W.route_weather_impact(enriched(t))
+
+
+@query("hour_day_reliability")
+def _hour_day_reliability(t):
+    """KPIs per route, weekday and hour."""
+    return hour_day(t)
+
+
+@query("event_window_impact")
+def _event_window_impact(t):
+    """KPIs inside vs outside event windows."""
+    return events_mart(t)
+
+
+@query("disruption_association")
+def _disruption_association(t):
+    """KPIs inside vs outside alert windows."""
+    return alerts_mart(t)
+
+
+@query("risk_forecast")
+def _risk_forecast(t):
+    """24-hour risk projection from a fixed as-of hour."""
+    return risk(t)
+
+
+# ---- coverage --------------------------------------------------------------
+
+@query("coverage_strict")
+def _coverage_strict(t):
+    """Global coverage, raw rows with an arrival."""
+    return CV.coverage_summary(t.rt_updates, delay_best(t), require_arrival=True)
+
+
+@query("coverage_loose")
+def _coverage_loose(t):
+    """Global coverage, all raw rows, zero-guarded."""
+    return CV.coverage_summary(t.rt_updates, delay_best(t), require_arrival=False)
+
+
+@query("offset_distribution")
+def _offset_distribution(t):
+    """Rows per best-offset bucket."""
+    return CV.offset_distribution(delay_best(t))
+
+
+@query("route_offset_usage")
+def _route_offset_usage(t):
+    """Top 10 routes by non-zero offset share."""
+    return CV.route_offset_usage(delay_best(t))
+
+
+@query("route_coverage")
+def _route_coverage(t):
+    """10 routes with the lowest matched share."""
+    return CV.route_coverage(t.rt_updates, t.trips, delay_best(t))
+
+
+@query("excluded_trip_count")
+def _excluded_trip_count(t):
+    """Raw trip ids not in the delay layer (G1)."""
+    return CV.excluded_trip_count(t.rt_updates, delay_best(t))
+
+
+# ---- delay checks ------------------------------------------------------------
+
+@query("delay_stats")
+def _delay_stats(t):
+    """Overall delay statistics."""
+    return DL.delay_stats(delay_best(t))
+
+
+@query("delay_outliers")
+def _delay_outliers(t):
+    """Outlier counts."""
+    return DL.delay_outliers(delay_best(t))
+
+
+@query("delay_distribution")
+def _delay_distribution(t):
+    """Rows per delay category."""
+    return DL.delay_distribution(delay_best(t))
+
+
+@query("worst_delays")
+def _worst_delays(t):
+    """10 latest arrivals."""
+    return DL.top_delays(delay_best(t), 10, worst=True)
+
+
+@query("earliest_arrivals")
+def _earliest_arrivals(t):
+    """10 earliest arrivals."""
+    return DL.top_delays(delay_best(t), 10, worst=False)
+
+
+# ---- key audits -------------------------------------------------------------
+
+@query("trip_id_overlap")
+def _trip_id_overlap(t):
+    """Observed vs timetable trip ids."""
+    return AU.key_overlap(t.rt_updates, t.trips, ["trip_id"], ("rt_trip_ids", "static_trip_ids", "matched_trip_ids"))
+
+
+@query("stop_id_overlap")
+def _stop_id_overlap(t):
+    """Observed vs timetable stop ids."""
+    return AU.key_overlap(t.rt_updates, t.stops, ["stop_id"], ("rt_stop_ids", "static_stop_ids", "matched_stop_ids"))
+
+
+@query("pair_overlap")
+def _pair_overlap(t):
+    """Observed vs timetable (trip, stop) pairs."""
+    return AU.key_overlap(t.rt_updates, t.stop_times, ["trip_id", "stop_id"], ("rt_pairs", "static_pairs", "matched_pairs"))
+
+
+@query("stop_code_overlap")
+def _stop_code_overlap(t):
+    """Observed stop ids that equal a timetable stop_code."""
+    return AU.alternate_key_matches(t.rt_updates, t.stops)
+
+
+@query("pair_uniqueness")
+def _pair_uniqueness(t):
+    """Uniqueness of (trip, stop) in the timetable."""
+    return AU.pair_uniqueness(t.stop_times)
+
+
+@query("duplicate_pairs")
+def _duplicate_pairs(t):
+    """20 most repeated (trip, stop) pairs."""
+    return AU.duplicate_pairs(t.stop_times)
+
+
+@query("unmatched_stop_ids")
+def _unmatched_stop_ids(t):
+    """Observed stop ids absent from the timetable stops."""
+    return AU.unmatched_keys(t.rt_updates, t.stops, "stop_id")
+
+
+@query("rt_schedule_sample")
+def _rt_schedule_sample(t):
+    """Observed rows with route and same-stop timetable row (C20)."""
+    return AU.schedule_lookup(t.rt_updates, t.trips, t.stop_times)
+
+
+@query("sequence_count_match")
+def _sequence_count_match(t):
+    """Observed vs timetable rows per trip."""
+    return AU.sequence_count_match(t.rt_updates, t.stop_times)
+
+
+@query("sequence_view")
+def _sequence_view(t):
+    """Timetable stops next to the same-ordinal observed row."""
+    return AU.sequence_view(A.rt_sequence(t.rt_updates), A.static_sequence(t.stop_times), t.stops)
+
+
+@query("rt_profile")
+def _rt_profile(t):
+    """Distinct and NULL counts of the feed."""
+    return AU.rt_profile(t.rt_updates)
+
+
+@query("rt_sequence_frequency")
+def _rt_sequence_frequency(t):
+    """20 most frequent feed stop_sequence values."""
+    return AU.frequency(t.rt_updates, "stop_sequence")
+
+
+# ---- weather checks ----------------------------------------------------------
+
+@query("weather_join_quality")
+def _weather_join_quality(t):
+    """Weather match and rain counts."""
+    return W.weather_join_quality(enriched(t))
+
+
+@query("dry_vs_rainy")
+def _dry_vs_rainy(t):
+    """Dry vs rainy rows with known weather."""
+    return W.dry_vs_rainy(enriched(t))
+
+
+@query("rain_sensitivity_rows")
+def _rain_sensitivity_rows(t):
+    """Top 10 routes by rainy minus dry delay, row weighted."""
+    return W.rain_sensitivity_rows(enriched(t))
+
+
+@query("rain_sensitivity_buckets")
+def _rain_sensitivity_buckets(t):
+    """Rainy minus dry delay from bucket means."""
+    return W.rain_sensitivity_buckets(W.route_weather_impact(enriched(t)))
+
+
+# ---- mart audits and summaries ---------------------------------------------
+
+@query("mart_reconciliation")
+def _mart_reconciliation(t):
+    """Each mart's events against delay rows."""
+    return AU.mart_reconciliation(
+        delay_best(t),
+        {"route_performance": route_perf(t), "stop_performance": stop_perf(t), "route_hour_performance": route_hour(t)},
+    )
+
+
+@query("mart_null_audit")
+def _mart_null_audit(t):
+    """NULL counts in the route mart."""
+    return AU.mart_null_audit(route_perf(t))
+
+
+@query("route_mart_summary")
+def _route_mart_summary(t):
+    """Route mart summary."""
+    return AU.route_mart_summary(route_perf(t))
+
+
+@query("stop_mart_summary")
+def _stop_mart_summary(t):
+    """Stop mart summary."""
+    return AU.stop_mart_summary(stop_perf(t))
+
+
+@query("hour_mart_summary")
+def _hour_mart_summary(t):
+    """Route-hour mart summary."""
+    return AU.hour_mart_summary(route_hour(t))
+
+
+# ---- rankings and extracts ---------------------------------------------------
+
+@query("top_routes")
+def _top_routes(t):
+    """5 routes with the highest mean delay."""
+    return EX.top_k(route_perf(t), [desc("avg_delay_minutes"), asc("route_id")], 5,
+                    ["route_id", "trip_count", "stop_event_count", "avg_delay_minutes", "on_time_rate"])
+
+
+@query("bottom_routes")
+def _bottom_routes(t):
+    """5 routes with the lowest mean delay."""
+    return EX.top_k(route_perf(t), [asc("avg_delay_minutes"), asc("route_id")], 5,
+                    ["route_id", "trip_count", "stop_event_count", "avg_delay_minutes", "on_time_rate"])
+
+
+@query("peak_hours")
+def _peak_hours(t):
+    """5 route-hours with the highest mean delay."""
+    return EX.top_k(route_hour(t), [desc("avg_delay_minutes"), asc("route_id"), asc("hour_of_day")], 5,
+                    ["hour_of_day", "route_id", "stop_event_count", "avg_delay_minutes", "on_time_rate"])
+
+
+@query("analyst_route_ranking")
+def _analyst_route_ranking(t):
+    """Routes by mean delay (analyst query 1, K32)."""
+    return route_perf(t).select(*EX.ROUTE_RANKING_COLUMNS)
+
+
+@query("top_stops")
+def _top_stops(t):
+    """25 most delay-prone stops (analyst query 2, K32)."""
+    return EX.top_k(stop_perf(t), [desc("avg_delay_minutes"), asc("static_stop_id"), asc("route_id")], 25,
+                    EX.STOP_RANKING_COLUMNS)
+
+
+@query("top_hour_day")
+def _top_hour_day(t):
+    """30 least reliable (route, weekday, hour) (analyst query 3, K32)."""
+    return EX.top_k(hour_day(t), [desc("avg_delay_minutes"), desc("delay_probability_pct"), asc("route_id"),
+                                  asc("day_of_week_num"), asc("hour_of_day")], 30, EX.HOUR_DAY_COLUMNS)
+
+
+@query("analyst_event_windows")
+def _analyst_event_windows(t):
+    """Event-window impact view (analyst query 4, K32)."""
+    return events_mart(t).select(*EX.EVENT_COLUMNS)
+
+
+@query("analyst_alerts")
+def _analyst_alerts(t):
+    """Alert association view (analyst query 5, K32)."""
+    return alerts_mart(t).select(*EX.ALERT_COLUMNS)
+
+
+@query("top_risk_periods")
+def _top_risk_periods(t):
+    """40 highest projected delays (analyst query 6, K32)."""
+    return EX.top_k(risk(t), [desc("projected_delay_minutes"), asc("forecast_hour_local_ts"), asc("route_id")], 40,
+                    EX.RISK_COLUMNS)
+
+
+@query("dashboard_hour_day")
+def _dashboard_hour_day(t):
+    """15 worst hour/day cells with their label."""
+    top = EX.top_k(hour_day(t), [desc("avg_delay_minutes"), asc("route_id"), asc("day_of_week_num"), asc("hour_of_day")], 15,
+                   ["day_of_week", "hour_of_day", "route_id", "avg_delay_minutes", "delay_probability_pct"])
+    return top.withColumn("hour_day", EX.hour_day_label(F.col("day_of_week"), F.col("hour_of_day")))
+
+
+@query("dashboard_worst_stops")
+def _dashboard_worst_stops(t):
+    """20 worst stops for the stop drill-down."""
+    return EX.top_k(stop_perf(t), [desc("avg_delay_minutes"), asc("static_stop_id"), asc("route_id")], 20,
+                    ["static_stop_id", "stop_name", "route_id", "stop_event_count", "avg_delay_minutes", "on_time_rate"])
+
+
+@query("dashboard_risk_labels")
+def _dashboard_risk_labels(t):
+    """25 highest-risk route-hours with their label."""
+    top = EX.top_k(risk(t), [desc("projected_delay_minutes"), asc("forecast_hour_local_ts"), asc("route_id")], 25,
+                   ["forecast_hour_local_ts", "route_id", "projected_delay_minutes", "risk_level"])
+    return top.withColumn("label", EX.route_hour_label(F.col("route_id"), F.col("forecast_hour_local_ts")))
+
+
+@query("headline_metrics")
+def _headline_metrics(t):
+    """Executive headline numbers."""
+    return EX.headline_metrics(route_perf(t))
+
+
+@query("alert_share_metrics")
+def _alert_share_metrics(t):
+    """Alert-window headline numbers."""
+    return EX.alert_share_metrics(alerts_mart(t))
+
+
+@query("risk_box_summary")
+def _risk_box_summary(t):
+    """Five-number summary of projected probability per risk level."""
+    return EX.risk_box_summary(risk(t))
+
+
+@query("route_list")
+def _route_list(t):
+    """Routes for the route filter."""
+    return EX.route_list(stop_perf(t))
+
+
+# ---- alignment summaries and loads -----------------------------------------
+
+@query("alignment_summary")
+def _alignment_summary(t):
+    """Rows, trips, routes, NULL routes of the best-offset alignment."""
+    return AU.alignment_summary(aligned_best(t))
+
+
+@query("rows_per_trip")
+def _rows_per_trip(t):
+    """Aligned rows per (trip, route) in the naive alignment."""
+    return AU.rows_per_group(aligned_ordinal(t), ["trip_id", "route_id"])
+
+
+@query("rows_per_trip_offset")
+def _rows_per_trip_offset(t):
+    """Aligned rows per (trip, best offset)."""
+    return AU.rows_per_group(aligned_best(t), ["trip_id", "best_offset"])
+
+
+@query("load_summary")
+def _load_summary(t):
+    """Row counts and time span of each input."""
+    return AU.load_summary({
+        "gtfs_rt_trip_updates": (t.rt_updates, "poll_timestamp"),
+        "weather_hourly": (t.weather, "observation_datetime"),
+        "gtfs_stops": (t.stops, None),
+        "gtfs_routes": (t.routes, None),
+        "gtfs_trips": (t.trips, None),
+        "gtfs_stop_times": (t.stop_times, None),
+    })
+
+
+@query("input_readiness")
+def _input_readiness(t):
+    """Mart row counts a dashboard needs."""
+    e = enriched(t)
+    return EX.input_readiness(route_perf(t), stop_perf(t), route_hour(t), W.weather_impact(e), W.route_weather_impact(e), e)
+
+
+# ---- sources ------------------------------------------------------------------
+
+@query("flatten_trip_updates")
+def _flatten_trip_updates(t):
+    """Feed rows nested into documents and flattened back (A4, A5)."""
+    return RT.flatten_trip_updates(RT.build_feed_documents(t.rt_updates))
+
+
+@query("flatten_hourly_weather")
+def _flatten_hourly_weather(t):
+    """Weather rows nested into daily parallel-array documents and flattened back."""
+    docs = WS.build_weather_documents(t.weather)
+    return WS.flatten_hourly_weather(docs, loaded_at="2024-02-01T00:00:00+00:00")
