@@ -126,7 +126,12 @@ def rain_sensitivity_rows(enriched: DataFrame, k: int = 10) -> DataFrame:
 def rain_sensitivity_buckets(route_weather: DataFrame) -> DataFrame:
     """Dashboard form: mean of bucket means per (route, raining), unknown counted as dry."""
     piv = route_weather.groupBy("route_id").pivot("is_raining", [False, True]).agg(F.avg("avg_delay_minutes"))
-    piv = piv.select("route_id", F.col("false").alias("dry_avg"), F.col("true").alias("rainy_avg"))
-    return piv.where(F.col("dry_avg").isNotNull() & F.col("rainy_avg").isNotNull()).withColumn(
-        "delta", F.col("rainy_avg") - F.col("dry_avg")
+    piv = piv.where(F.col("false").isNotNull() & F.col("true").isNotNull())
+    # Means of already rounded means: 4 decimals keep the result independent
+    # of summation order.
+    return piv.select(
+        "route_id",
+        round_half(F.col("false"), 4).alias("dry_avg"),
+        round_half(F.col("true"), 4).alias("rainy_avg"),
+        round_half(F.col("true") - F.col("false"), 4).alias("delta"),
     )
