@@ -629,3 +629,42 @@ def _flatten_hourly_weather(t):
     """Weather rows nested into daily parallel-array documents and flattened back."""
     docs = WS.build_weather_documents(t.weather)
     return WS.flatten_hourly_weather(docs, loaded_at="2024-02-01T00:00:00+00:00")
+
+
+# ---- streaming ----------------------------------------------------------------
+
+def _write_feed(t: TransitTables, folder: str, files: int = 4) -> None:
+    docs = RT.build_feed_documents(t.rt_updates)
+    docs.repartition(files, "poll_timestamp").write.mode("overwrite").json(folder)
+
+
+@query("stream_poll_append")
+def _stream_poll_append(t):
+    """Feed documents streamed from files into an append-only poll log."""
+    from headway.streaming.polls import scratch_folder, start_poll_append
+
+    spark = t.rt_updates.sparkSession
+    base = scratch_folder(spark, "poll-append")
+    _write_feed(t, f"{base}/feed")
+    q = start_poll_append(spark, f"{base}/feed", f"{base}/polls", f"{base}/ckpt", max_files_per_trigger=2)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/polls")
+
+
+@query("stream_delay_refresh")
+def _stream_delay_refresh(t):
+    """Streamed polls refresh the delay layer of touched trips; equals the batch layer."""
+    from headway.operators.delay import DELAY_COLUMNS
+    from headway.streaming.polls import scratch_folder, start_delay_refresh
+
+    spark = t.rt_updates.sparkSession
+    base = scratch_folder(spark, "delay-refresh")
+    _write_feed(t, f"{base}/feed")
+    q = start_delay_refresh(
+        spark, f"{base}/feed", f"{base}/polls", f"{base}/delay", f"{base}/ckpt",
+        t.stop_times, t.trips, t.stops, max_files_per_trigger=2,
+    )
+    q.awaitTermination()
+    cols = list(DELAY_COLUMNS)
+    cols.insert(4, "best_offset")
+    return spark.read.parquet(f"{base}/delay").select(*cols)
