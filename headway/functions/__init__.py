@@ -26,6 +26,7 @@ from headway.functions.timefn import (  # noqa: F401
     hms_seconds,
     local_wall_clock,
     minute_diff,
+    parse_local_hour,
     parse_local_time,
     scheduled_wall_clock,
     seconds_of_day,

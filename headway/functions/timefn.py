@@ -140,3 +140,19 @@ def parse_local_time(text: Column | str) -> Column:
         t.rlike(_WEATHER_TIME_RE),
         F.try_make_timestamp_ntz(part(1), part(2), part(3), part(4), part(5), secs),
     )
+
+
+def parse_local_hour(text: Column | str) -> Column:
+    """Parse like :func:`parse_local_time` and truncate to the hour in one step.
+
+    Building the hour straight from the text fields keeps the expression
+    small (the text is read by one regex per field, not re-parsed per field).
+    """
+    t = _col(text)
+
+    def part(i: int) -> Column:
+        return F.regexp_extract(t, _WEATHER_TIME_RE, i).try_cast("int")
+
+    secs = F.when(F.regexp_extract(t, _WEATHER_TIME_RE, 7) == "", F.lit(0)).otherwise(part(7))
+    valid = t.rlike(_WEATHER_TIME_RE) & (part(5) <= 59) & (secs <= 59)
+    return F.when(valid, F.try_make_timestamp_ntz(part(1), part(2), part(3), part(4), F.lit(0), F.lit(0)))

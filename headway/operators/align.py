@@ -28,6 +28,7 @@ from headway.functions.timefn import (
     scheduled_wall_seconds,
     utc_wall_clock,
 )
+from headway.operators.median import median_count_mean
 from headway.operators.sequence import key_counts, sequence_number
 from headway.operators.sizing import broadcast_if_small
 
@@ -130,11 +131,11 @@ def score_offsets(
         rows = _candidate_rows(rt_seq, st_seq, candidates, ["arrival_time"])
         actual = F.col("_actual_s")
         err = F.abs(minute_diff_seconds(scheduled_wall_seconds(actual, "arrival_time"), actual))
-        rows = rows.withColumn("_actual_s", local_epoch_seconds("arrival_time_unix", tz))
-        return rows.groupBy("trip_id", "seq_offset").agg(
-            F.count(F.lit(1)).alias("aligned_rows"),
-            F.median(err).alias("median_abs_error_min"),
-            F.avg(err).alias("avg_abs_error_min"),
+        rows = rows.withColumn("_actual_s", local_epoch_seconds("arrival_time_unix", tz)).select(
+            "trip_id", "seq_offset", err.alias("_abs_err")
+        )
+        return median_count_mean(
+            rows, ["trip_id", "seq_offset"], "_abs_err", "median_abs_error_min", "avg_abs_error_min", "aligned_rows"
         )
     if scorer == "circular_seconds":
         rows = _candidate_rows(rt_seq, st_seq, candidates, ["arrival_time"])

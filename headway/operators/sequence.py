@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.operators.sizing import hot_key_rows, max_hot_keys
+from headway.operators.sizing import hot_key_rows, max_hot_keys, remembered
 
 
 def _hot_key(k: str) -> str:
@@ -70,7 +70,9 @@ def sequence_number(
 
     # Runtime check (one pass over the key column, like a statistics scan):
     # without hot keys the plan is a single window stage.
-    if force_split is False or (not force_split and not hot_list.take(1)):
+    if force_split is False or (
+        not force_split and not remembered(df, f"hot>{hot_rows}:{keys}", lambda: hot_list.take(1))
+    ):
         return plain_window(df)
 
     hot = F.broadcast(

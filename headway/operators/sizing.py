@@ -31,6 +31,22 @@ def max_hot_keys(spark: SparkSession) -> int:
     return conf_int(spark, "headway.skew.maxHotKeys", DEFAULT_MAX_HOT_KEYS)
 
 
+_DECISIONS: dict[tuple, bool] = {}
+
+
+def remembered(df: DataFrame, tag: str, check) -> bool:
+    """Run a plan-level check once per (session, plan, tag).
+
+    Used only for physical-path choices (broadcast or not, split hot keys or
+    not); both outcomes give the same result, so a remembered answer can make
+    a later run slower but never wrong.
+    """
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tag)
+    if key not in _DECISIONS:
+        _DECISIONS[key] = bool(check())
+    return _DECISIONS[key]
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Mark ``df`` for broadcast only after checking it has at most ``max_rows`` rows.
 
@@ -38,5 +54,5 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     is returned unchanged and the join falls back to a shuffle join.
     """
     limit = max_rows if max_rows is not None else broadcast_rows_limit(df.sparkSession)
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+    small = remembered(df, f"rows<={limit}", lambda: df.limit(limit + 1).count() <= limit)
+    return F.broadcast(df) if small else df

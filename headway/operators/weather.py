@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from headway.functions import constants as K
 from headway.functions.labels import is_raining, precipitation_bucket
 from headway.functions.numeric import count_when, pct, round_half
-from headway.functions.timefn import parse_local_time, trunc_hour
+from headway.functions.timefn import parse_local_hour, trunc_hour
 from headway.operators.kpi import avg_delay, median_delay, n_rows, on_time_rate, p95_delay
 from headway.operators.sizing import broadcast_if_small
 
@@ -16,7 +16,7 @@ from headway.operators.sizing import broadcast_if_small
 def weather_by_hour(weather: DataFrame) -> DataFrame:
     """Raw hourly rows -> (weather_local_hour, precipitation, temperature, wind)."""
     return weather.select(
-        trunc_hour(parse_local_time(F.col("observation_datetime"))).alias("weather_local_hour"),
+        parse_local_hour(F.col("observation_datetime")).alias("weather_local_hour"),
         "precipitation_mm",
         "temperature_c",
         "windspeed_kmh",

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from headway.operators import align as A
 from headway.operators import delay as DL
 from headway.operators import kpi
-from headway.sources.fixtures import TransitTables, load_transit
+from headway.sources.fixtures import TransitTables
+from headway.sources.raw_layer import raw_transit
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,7 +25,7 @@ QUERIES: dict[str, Query] = {}
 def query(name: str):
     def deco(fn: Callable[[TransitTables], DataFrame]) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(load_transit(spark, sf_dir))
+            return fn(raw_transit(spark, sf_dir))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
