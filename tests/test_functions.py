@@ -40,10 +40,16 @@ def test_minute_diff_counts_boundaries(spark):
 
 
 def test_round_half_and_pct(spark):
-    got = one(spark, round_half(F.col("x"), 2), "x double", [(2.675,), (1.005,), (-1.125,), (0.125,)])
-    # The scaled value is rounded half away from zero: 2.675 * 100 is
-    # 267.49999999999997 as a double, -1.125 * 100 is exactly -112.5.
-    assert got == [2.67, 1.0, -1.13, 0.13]
+    import random
+
+    import duckdb
+
+    vals = [2.675, 1.005, -1.125, 0.125, 0.285] + [round(random.Random(i).uniform(-50, 50), 3) for i in range(2000)]
+    got = one(spark, round_half(F.col("x"), 2), "x double", [(v,) for v in vals])
+    con = duckdb.connect()
+    want = [con.execute("SELECT ROUND(CAST(? AS DOUBLE) * 100.0) / 100.0", [v]).fetchone()[0] for v in vals]
+    assert got == want
+    assert got[:5] == [2.68, 1.0, -1.13, 0.13, 0.28]  # 2.675 * 100 is exactly 267.5 as a double
     df = spark.createDataFrame([(1, 3), (0, 0), (2, 0)], "a long, b long")
     p = [r[0] for r in df.select(pct(F.col("a"), F.col("b"))).collect()]
     z = [r[0] for r in df.select(pct_or_zero(F.col("a"), F.col("b"))).collect()]
