@@ -16,7 +16,7 @@ from headway.operators import align as A
 from headway.operators import delay as DL
 from headway.operators import kpi
 from headway.sources.fixtures import TransitTables
-from headway.sources.raw_layer import raw_transit
+from headway.sources.raw_layer import raw_transit, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,7 +114,7 @@ def _delay_best_offset(t):
 @query("route_performance")
 def _route_performance(t):
     """Route KPI mart."""
-    return kpi.route_performance(delay_best(t), t.rt_updates, t.trips)
+    return route_perf(t)
 
 
 # ---- imports for the wider catalog -----------------------------------------
@@ -129,24 +129,29 @@ from headway.sources import realtime as RT  # noqa: E402
 from headway.sources import weather as WS  # noqa: E402
 
 
+def delay_layer(t: TransitTables) -> DataFrame:
+    """The best-offset delay layer as the marts read it: a staging table."""
+    return staged(t, "delay_preview_best_offset", lambda: delay_best(t))
+
+
 def route_perf(t: TransitTables) -> DataFrame:
-    return kpi.route_performance(delay_best(t), t.rt_updates, t.trips)
+    return kpi.route_performance(delay_layer(t), t.rt_updates, t.trips)
 
 
 def stop_perf(t: TransitTables) -> DataFrame:
-    return kpi.stop_performance(delay_best(t), route_perf(t))
+    return kpi.stop_performance(delay_layer(t), route_perf(t))
 
 
 def route_hour(t: TransitTables) -> DataFrame:
-    return kpi.route_hour_performance(delay_best(t), t.rt_updates, t.trips)
+    return kpi.route_hour_performance(delay_layer(t), t.rt_updates, t.trips)
 
 
 def enriched(t: TransitTables) -> DataFrame:
-    return W.enrich_weather(delay_best(t), t.weather)
+    return W.enrich_weather(delay_layer(t), t.weather)
 
 
 def hour_day(t: TransitTables) -> DataFrame:
-    return RK.hour_day_reliability(delay_best(t))
+    return RK.hour_day_reliability(delay_layer(t))
 
 
 def events_mart(t: TransitTables) -> DataFrame:
@@ -218,7 +223,7 @@ def _route_hour_performance(t):
 @query("unmatched_trips")
 def _unmatched_trips(t):
     """Observed trips missing from the delay layer."""
-    return kpi.unmatched_trips(t.rt_updates, delay_best(t))
+    return kpi.unmatched_trips(t.rt_updates, delay_layer(t))
 
 
 @query("delay_weather_enriched")
@@ -268,37 +273,37 @@ def _risk_forecast(t):
 @query("coverage_strict")
 def _coverage_strict(t):
     """Global coverage, raw rows with an arrival."""
-    return CV.coverage_summary(t.rt_updates, delay_best(t), require_arrival=True)
+    return CV.coverage_summary(t.rt_updates, delay_layer(t), require_arrival=True)
 
 
 @query("coverage_loose")
 def _coverage_loose(t):
     """Global coverage, all raw rows, zero-guarded."""
-    return CV.coverage_summary(t.rt_updates, delay_best(t), require_arrival=False)
+    return CV.coverage_summary(t.rt_updates, delay_layer(t), require_arrival=False)
 
 
 @query("offset_distribution")
 def _offset_distribution(t):
     """Rows per best-offset bucket."""
-    return CV.offset_distribution(delay_best(t))
+    return CV.offset_distribution(delay_layer(t))
 
 
 @query("route_offset_usage")
 def _route_offset_usage(t):
     """Top 10 routes by non-zero offset share."""
-    return CV.route_offset_usage(delay_best(t))
+    return CV.route_offset_usage(delay_layer(t))
 
 
 @query("route_coverage")
 def _route_coverage(t):
     """10 routes with the lowest matched share."""
-    return CV.route_coverage(t.rt_updates, t.trips, delay_best(t))
+    return CV.route_coverage(t.rt_updates, t.trips, delay_layer(t))
 
 
 @query("excluded_trip_count")
 def _excluded_trip_count(t):
     """Raw trip ids not in the delay layer (G1)."""
-    return CV.excluded_trip_count(t.rt_updates, delay_best(t))
+    return CV.excluded_trip_count(t.rt_updates, delay_layer(t))
 
 
 # ---- delay checks ------------------------------------------------------------
@@ -306,31 +311,31 @@ def _excluded_trip_count(t):
 @query("delay_stats")
 def _delay_stats(t):
     """Overall delay statistics."""
-    return DL.delay_stats(delay_best(t))
+    return DL.delay_stats(delay_layer(t))
 
 
 @query("delay_outliers")
 def _delay_outliers(t):
     """Outlier counts."""
-    return DL.delay_outliers(delay_best(t))
+    return DL.delay_outliers(delay_layer(t))
 
 
 @query("delay_distribution")
 def _delay_distribution(t):
     """Rows per delay category."""
-    return DL.delay_distribution(delay_best(t))
+    return DL.delay_distribution(delay_layer(t))
 
 
 @query("worst_delays")
 def _worst_delays(t):
     """10 latest arrivals."""
-    return DL.top_delays(delay_best(t), 10, worst=True)
+    return DL.top_delays(delay_layer(t), 10, worst=True)
 
 
 @query("earliest_arrivals")
 def _earliest_arrivals(t):
     """10 earliest arrivals."""
-    return DL.top_delays(delay_best(t), 10, worst=False)
+    return DL.top_delays(delay_layer(t), 10, worst=False)
 
 
 # ---- key audits -------------------------------------------------------------
@@ -439,7 +444,7 @@ def _rain_sensitivity_buckets(t):
 def _mart_reconciliation(t):
     """Each mart's events against delay rows."""
     return AU.mart_reconciliation(
-        delay_best(t),
+        delay_layer(t),
         {"route_performance": route_perf(t), "stop_performance": stop_perf(t), "route_hour_performance": route_hour(t)},
     )
 

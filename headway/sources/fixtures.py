@@ -35,6 +35,8 @@ class TransitTables:
     weather: DataFrame
     event_windows: DataFrame
     alert_windows: DataFrame
+    # Catalog database holding these tables when they were persisted (raw layer).
+    source_key: str | None = None
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -51,4 +51,26 @@ def raw_transit(spark: SparkSession, sf_dir: str, buckets: int | None = None) ->
     db = _db_name(sf_dir)
     if not all(spark.catalog.tableExists(f"{db}.{f}") for f in FIELDS):
         write_raw_layer(spark, load_transit(spark, sf_dir), db, buckets or default_buckets(spark))
-    return TransitTables(*[spark.table(f"{db}.{f}") for f in FIELDS])
+    return TransitTables(*[spark.table(f"{db}.{f}") for f in FIELDS], source_key=db)
+
+
+def staged(t: TransitTables, name: str, build, bucket_by: str | None = "trip_id") -> DataFrame:
+    """A staging table derived from persisted inputs, written once per session.
+
+    Mirrors the raw -> staging -> marts layering: the delay layer every mart
+    depends on is computed once and read back, instead of being recomputed in
+    each consumer of a plan.  Inputs that were not persisted are computed
+    in place.
+    """
+    if t.source_key is None:
+        return build()
+    spark = t.rt_updates.sparkSession
+    table = f"{t.source_key}.{name}"
+    if not spark.catalog.tableExists(table):
+        writer = build().write.mode("overwrite").format("parquet").option(
+            "path", os.path.join(checkpoint_dir(spark), t.source_key, name)
+        )
+        if bucket_by:
+            writer = writer.bucketBy(default_buckets(spark), bucket_by).sortBy(bucket_by)
+        writer.saveAsTable(table)
+    return spark.table(table)
