@@ -46,12 +46,22 @@ def best_chain(t: TransitTables):
     return rt_seq, st_seq, cand, scores, best
 
 
+def best_table(t: TransitTables) -> DataFrame:
+    """Best offset per trip, staged once per session (raw -> staging layering)."""
+    return staged(t, "best_trip_offsets", lambda: best_chain(t)[4])
+
+
 def aligned_best(t: TransitTables) -> DataFrame:
-    rt_seq, st_seq, _, _, best = best_chain(t)
-    return A.align_with_offsets(rt_seq, st_seq, best, t.trips, t.stops)
+    """Best-offset alignment, staged; reads the staged best offsets."""
+    def build() -> DataFrame:
+        rt_seq, st_seq = A.rt_sequence(t.rt_updates), A.static_sequence(t.stop_times)
+        return A.align_with_offsets(rt_seq, st_seq, best_table(t), t.trips, t.stops)
+
+    return staged(t, "rt_static_alignment_best_offset", build)
 
 
 def delay_best(t: TransitTables) -> DataFrame:
+    """Delay layer over the staged alignment (built in place when inputs are not persisted)."""
     return DL.delay_layer(aligned_best(t))
 
 
@@ -88,13 +98,13 @@ def _offset_scores(t):
 @query("best_trip_offsets")
 def _best_trip_offsets(t):
     """Best offset per trip (K4)."""
-    return best_chain(t)[4]
+    return best_table(t)
 
 
 @query("nonzero_best_offsets")
 def _nonzero_best_offsets(t):
     """Trips whose best offset is not 0 (K8)."""
-    return best_chain(t)[4].where(F.col("best_offset") != 0)
+    return best_table(t).where(F.col("best_offset") != 0)
 
 
 @query("align_best_offset")
@@ -106,7 +116,7 @@ def _align_best_offset(t):
 @query("delay_best_offset")
 def _delay_best_offset(t):
     """Delay layer over the best-offset alignment (K9)."""
-    return delay_best(t)
+    return delay_layer(t)
 
 
 # ---- marts ----------------------------------------------------------------

@@ -20,9 +20,9 @@ from headway.operators.sequence import sequence_number
 
 # Parameters of the derivation (shared with the DuckDB oracle text).
 FEED_EPOCH = 1704096000            # 2024-01-01 00:00 America/Los_Angeles, in unix seconds
-TIMETABLE_SNAPSHOT = "1998-01-01"  # orders dated before this are timetable trips
+TIMETABLE_SNAPSHOT = "2001-01-01"  # orders dated before this are timetable trips
 WINDOW_MIN_VALUE = 100.0           # events of at least this value open a window
-AS_OF = "2024-01-15 06:00:00"      # forecast reference hour used by the tests
+AS_OF = "2024-01-15 06:00:00"      # forecast start hour used by the registered queries
 
 
 @dataclass(frozen=True)

@@ -22,7 +22,7 @@ from headway.sources.fixtures import TransitTables, load_transit
 
 TRIP_KEYED = ("trips", "stop_times", "rt_updates")
 FIELDS = ("trips", "stops", "routes", "stop_times", "rt_updates", "weather", "event_windows", "alert_windows")
-MAPPING_VERSION = "v1"
+MAPPING_VERSION = "v2"
 
 
 def default_buckets(spark: SparkSession) -> int:

@@ -1,4 +1,4 @@
-"""Time the reference-equivalent SQL (the oracle text) on single-node DuckDB.
+"""Time the oracle SQL (the published method written for DuckDB) on a single node.
 
     python tools/duckdb_baseline.py [sf_dir] [name ...]
 """
