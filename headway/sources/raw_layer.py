@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,7 @@ from headway.sources.fixtures import TransitTables, load_transit
 TRIP_KEYED = ("trips", "stop_times", "rt_updates")
 FIELDS = ("trips", "stops", "routes", "stop_times", "rt_updates", "weather", "event_windows", "alert_windows")
 MAPPING_VERSION = "v2"
+_BUILD_LOCK = threading.RLock()  # one writer per staged table when queries run from several threads
 
 
 def default_buckets(spark: SparkSession) -> int:
@@ -37,7 +39,7 @@ def _db_name(sf_dir: str) -> str:
 
 def write_raw_layer(spark: SparkSession, tables: TransitTables, db: str, buckets: int) -> None:
     base = os.path.join(checkpoint_dir(spark), db)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{base}'")
     for field in FIELDS:
         df: DataFrame = getattr(tables, field)
         writer = df.write.mode("overwrite").format("parquet").option("path", os.path.join(base, field))
@@ -49,8 +51,9 @@ def write_raw_layer(spark: SparkSession, tables: TransitTables, db: str, buckets
 def raw_transit(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> TransitTables:
     """The transit tables for ``sf_dir`` from the session's raw layer (built on first use)."""
     db = _db_name(sf_dir)
-    if not all(spark.catalog.tableExists(f"{db}.{f}") for f in FIELDS):
-        write_raw_layer(spark, load_transit(spark, sf_dir), db, buckets or default_buckets(spark))
+    with _BUILD_LOCK:
+        if not all(spark.catalog.tableExists(f"{db}.{f}") for f in FIELDS):
+            write_raw_layer(spark, load_transit(spark, sf_dir), db, buckets or default_buckets(spark))
     return TransitTables(*[spark.table(f"{db}.{f}") for f in FIELDS], source_key=db)
 
 
@@ -66,11 +69,12 @@ def staged(t: TransitTables, name: str, build, bucket_by: str | None = "trip_id"
         return build()
     spark = t.rt_updates.sparkSession
     table = f"{t.source_key}.{name}"
-    if not spark.catalog.tableExists(table):
-        writer = build().write.mode("overwrite").format("parquet").option(
-            "path", os.path.join(checkpoint_dir(spark), t.source_key, name)
-        )
-        if bucket_by:
-            writer = writer.bucketBy(default_buckets(spark), bucket_by).sortBy(bucket_by)
-        writer.saveAsTable(table)
+    with _BUILD_LOCK:
+        if not spark.catalog.tableExists(table):
+            writer = build().write.mode("overwrite").format("parquet").option(
+                "path", os.path.join(checkpoint_dir(spark), t.source_key, name)
+            )
+            if bucket_by:
+                writer = writer.bucketBy(default_buckets(spark), bucket_by).sortBy(bucket_by)
+            writer.saveAsTable(table)
     return spark.table(table)
