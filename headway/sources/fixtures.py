@@ -78,7 +78,8 @@ def stop_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line.withColumn("a", base).withColumn("d", base + 30)
 
 
-def load_transit(spark: SparkSession, sf_dir: str) -> TransitTables:
+def load_transit(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> TransitTables:
+    """Derive the transit tables; ``lines`` may be a persisted ``stop_lines`` result."""
     orders = _read(spark, sf_dir, "orders")
     trips = orders.where(F.col("o_orderdate") < F.lit(TIMETABLE_SNAPSHOT).cast("timestamp_ntz")).select(
         F.col("o_orderkey").cast("string").alias("trip_id"),
@@ -93,7 +94,7 @@ def load_transit(spark: SparkSession, sf_dir: str) -> TransitTables:
         F.col("s_name").alias("stop_name"),
     )
 
-    sched = stop_lines(spark, sf_dir)
+    sched = lines if lines is not None else stop_lines(spark, sf_dir)
     stop_times = sched.select(
         F.col("k").cast("string").alias("trip_id"),
         F.col("s").cast("string").alias("stop_id"),

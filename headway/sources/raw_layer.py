@@ -19,11 +19,11 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.session import checkpoint_dir
-from headway.sources.fixtures import TransitTables, load_transit
+from headway.sources.fixtures import TransitTables, load_transit, stop_lines
 
 TRIP_KEYED = ("trips", "stop_times", "rt_updates")
 FIELDS = ("trips", "stops", "routes", "stop_times", "rt_updates", "weather", "event_windows", "alert_windows")
-MAPPING_VERSION = "v2"
+MAPPING_VERSION = "v3"
 _BUILD_LOCK = threading.RLock()  # one writer per staged table when queries run from several threads
 
 
@@ -37,9 +37,16 @@ def _db_name(sf_dir: str) -> str:
     return f"headway_raw_{digest}"
 
 
-def write_raw_layer(spark: SparkSession, tables: TransitTables, db: str, buckets: int) -> None:
+def write_raw_layer(spark: SparkSession, sf_dir: str, db: str, buckets: int) -> None:
+    """Derive and write the raw tables; the numbered line items are written first and shared."""
     base = os.path.join(checkpoint_dir(spark), db)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{base}'")
+    (
+        stop_lines(spark, sf_dir).write.mode("overwrite").format("parquet")
+        .option("path", os.path.join(base, "stop_lines"))
+        .bucketBy(buckets, "k").sortBy("k").saveAsTable(f"{db}.stop_lines")
+    )
+    tables = load_transit(spark, sf_dir, lines=spark.table(f"{db}.stop_lines"))
     for field in FIELDS:
         df: DataFrame = getattr(tables, field)
         writer = df.write.mode("overwrite").format("parquet").option("path", os.path.join(base, field))
@@ -53,7 +60,7 @@ def raw_transit(spark: SparkSession, sf_dir: str, buckets: int | None = None) ->
     db = _db_name(sf_dir)
     with _BUILD_LOCK:
         if not all(spark.catalog.tableExists(f"{db}.{f}") for f in FIELDS):
-            write_raw_layer(spark, load_transit(spark, sf_dir), db, buckets or default_buckets(spark))
+            write_raw_layer(spark, sf_dir, db, buckets or default_buckets(spark))
     return TransitTables(*[spark.table(f"{db}.{f}") for f in FIELDS], source_key=db)
 
 
