@@ -2,9 +2,9 @@
 
 Mapping (documented in FIXTURES.md): an order is a trip; its line items,
 numbered by line number, are the timetable stops; the realtime feed observes
-a contiguous tail of each trip (a per-trip number of leading stops is skipped
-and sometimes the last stop is missing) with a per-trip delay and per-stop
-noise; hourly weather and event/alert windows come from ``events``.  Every
+a contiguous part of each trip (the order status sets how many leading stops
+are missed, two order priorities miss the last stop) with a per-trip delay and
+per-stop noise; hourly weather and event/alert windows come from ``events``.  Every
 table is derived from whole inputs, so all downstream work grows with them.
 """
 
@@ -22,6 +22,7 @@ from headway.operators.sequence import sequence_number
 FEED_EPOCH = 1704096000            # 2024-01-01 00:00 America/Los_Angeles, in unix seconds
 TIMETABLE_SNAPSHOT = "2001-01-01"  # orders dated before this are timetable trips
 WINDOW_MIN_VALUE = 100.0           # events of at least this value open a window
+TAIL_DROP_PRIORITIES = ("2-HIGH", "4-NOT SPECIFIED")  # feeds of these orders miss the last stop
 AS_OF = "2024-01-15 06:00:00"      # forecast start hour used by the registered queries
 
 
@@ -104,8 +105,17 @@ def load_transit(spark: SparkSession, sf_dir: str, lines: DataFrame | None = Non
     )
 
     k, n, p = F.col("k"), F.col("n"), F.col("p")
-    head_skip = F.pmod(k, F.lit(3))
-    tail_drop = F.pmod(F.pmod(k, F.lit(5)), F.lit(2))
+    # How much of a trip the feed observes comes from the order's own fields:
+    # leading stops missed by status, last stop missing for two priorities.
+    observed = orders.select(
+        F.col("o_orderkey").alias("_ok"),
+        F.when(F.col("o_orderstatus") == "F", F.lit(0))
+        .when(F.col("o_orderstatus") == "O", F.lit(1))
+        .otherwise(F.lit(2)).alias("head_skip"),
+        F.when(F.col("o_orderpriority").isin(*TAIL_DROP_PRIORITIES), F.lit(1)).otherwise(F.lit(0)).alias("tail_drop"),
+    )
+    sched = sched.join(observed, sched["k"] == observed["_ok"]).drop("_ok")
+    head_skip, tail_drop = F.col("head_skip"), F.col("tail_drop")
     shift = F.pmod(k, F.lit(30)) * 86400 + F.col("a") + (F.pmod(k * 7, F.lit(900)) - 180) + F.pmod(p, F.lit(120))
     poll = F.concat(F.lit("2024-01-"), _two(F.pmod(k, F.lit(30)) + 1), F.lit("T00:00:00+00:00"))
     rt_updates = sched.where((F.col("pos") > head_skip) & (F.col("pos") <= F.col("cnt") - tail_drop)).select(
