@@ -1,7 +1,7 @@
 """Persist the raw layer once and read it back bucketed by trip.
 
 Trip-keyed inputs (timetable rows, observed rows, trips) are written as
-tables bucketed by ``trip_id``.  Reading them back, Spark knows every row of a
+tables bucketed by ``trip_id`` when no trip is hot (see ``bucketable``).  Reading them back, Spark knows every row of a
 trip sits in the same bucket, so the per-trip windows, counts and trip joins
 of the alignment run without a shuffle (set
 ``spark.sql.requireAllClusterKeysForCoPartition=false`` to extend this to the
@@ -18,6 +18,9 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from headway.operators.sizing import hot_key_rows
 from headway.session import checkpoint_dir
 from headway.sources.fixtures import TransitTables, load_transit, stop_lines
 
@@ -27,6 +30,31 @@ MAPPING_VERSION = "v4"
 _BUILD_LOCK = threading.RLock()  # one writer per staged table when queries run from several threads
 
 
+def bucketable(df: DataFrame, key: str) -> bool:
+    """True when no key value has more than ``headway.skew.hotKeyRows`` rows.
+
+    Bucketing co-locates a key in one file and one scan task; with a hot key
+    that task would read its whole share, so such tables are written plain
+    and the skew-aware operators split the hot key after the scan.
+    """
+    limit = hot_key_rows(df.sparkSession)
+    return not df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).take(1)
+
+
+# Per raw-layer database: were all trip-keyed tables bucketed?  Staging tables
+# hold at most the observed rows of a trip, so they follow the same decision.
+_TRIP_BUCKETED: dict[str, bool] = {}
+
+
+def _save(df: DataFrame, table: str, path: str, key: str | None, buckets: int, check: bool = True) -> bool:
+    writer = df.write.mode("overwrite").format("parquet").option("path", path)
+    bucket = bool(key) and (not check or bucketable(df, key))
+    if bucket:
+        writer = writer.bucketBy(buckets, key).sortBy(key)
+    writer.saveAsTable(table)
+    return bucket
+
+
 def default_buckets(spark: SparkSession) -> int:
     value = spark.conf.get("headway.raw.buckets", None)
     return int(value) if value else int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -41,18 +69,16 @@ def write_raw_layer(spark: SparkSession, sf_dir: str, db: str, buckets: int) ->
     """Derive and write the raw tables; the numbered line items are written first and shared."""
     base = os.path.join(checkpoint_dir(spark), db)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{base}'")
-    (
-        stop_lines(spark, sf_dir).write.mode("overwrite").format("parquet")
-        .option("path", os.path.join(base, "stop_lines"))
-        .bucketBy(buckets, "k").sortBy("k").saveAsTable(f"{db}.stop_lines")
-    )
+    lines = os.path.join(base, "stop_lines")
+    lines_bucketed = _save(stop_lines(spark, sf_dir), f"{db}.stop_lines", lines, "k", buckets)
     tables = load_transit(spark, sf_dir, lines=spark.table(f"{db}.stop_lines"))
+    # A trip's timetable and feed rows are subsets of one order's line items and
+    # trips hold one row per order, so the line-item check covers every
+    # trip-keyed table.
     for field in FIELDS:
-        df: DataFrame = getattr(tables, field)
-        writer = df.write.mode("overwrite").format("parquet").option("path", os.path.join(base, field))
-        if field in TRIP_KEYED:
-            writer = writer.bucketBy(buckets, "trip_id").sortBy("trip_id")
-        writer.saveAsTable(f"{db}.{field}")
+        key = "trip_id" if field in TRIP_KEYED and lines_bucketed else None
+        _save(getattr(tables, field), f"{db}.{field}", os.path.join(base, field), key, buckets, check=False)
+    _TRIP_BUCKETED[db] = lines_bucketed
 
 
 def raw_transit(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> TransitTables:
@@ -78,10 +104,7 @@ def staged(t: TransitTables, name: str, build, bucket_by: str | None = "trip_id"
     table = f"{t.source_key}.{name}"
     with _BUILD_LOCK:
         if not spark.catalog.tableExists(table):
-            writer = build().write.mode("overwrite").format("parquet").option(
-                "path", os.path.join(checkpoint_dir(spark), t.source_key, name)
-            )
-            if bucket_by:
-                writer = writer.bucketBy(default_buckets(spark), bucket_by).sortBy(bucket_by)
-            writer.saveAsTable(table)
+            path = os.path.join(checkpoint_dir(spark), t.source_key, name)
+            key = bucket_by if _TRIP_BUCKETED.get(t.source_key, False) else None
+            _save(build(), table, path, key, default_buckets(spark), check=False)
     return spark.table(table)

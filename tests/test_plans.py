@@ -21,3 +21,15 @@ def test_scoring_runs_without_shuffle(spark):
     assert exchanges(scores) == []
     assert exchanges(best) == []
     assert best.count() > 0
+
+
+def test_hot_key_tables_are_not_bucketed(spark):
+    from headway.sources.raw_layer import bucketable
+
+    df = spark.createDataFrame([("hot", i) for i in range(50)] + [("cold", 1)], "trip_id string, v int")
+    spark.conf.set("headway.skew.hotKeyRows", "10")
+    try:
+        assert bucketable(df, "trip_id") is False
+    finally:
+        spark.conf.unset("headway.skew.hotKeyRows")
+    assert bucketable(df, "trip_id") is True
