@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions import constants as K
 from headway.functions.numeric import round_half
 from headway.operators.frames import side_by_side
 from headway.operators.kpi import n_rows
@@ -112,4 +111,3 @@ HOUR_DAY_COLUMNS = ["day_of_week", "hour_of_day", "route_id", "avg_delay_minutes
 EVENT_COLUMNS = ["in_event_window", "event_type", "avg_delay_minutes", "delay_probability_pct", "stop_event_count"]
 ALERT_COLUMNS = ["in_alert_window", "alert_type", "pct_rows_associated_with_alerts", "avg_delay_minutes", "delay_probability_pct", "stop_event_count"]
 RISK_COLUMNS = ["forecast_hour_local_ts", "route_id", "projected_delay_minutes", "projected_delay_probability_pct", "risk_level", "precipitation_mm", "windspeed_kmh"]
-NONE_TYPE = K.NO_WINDOW_TYPE

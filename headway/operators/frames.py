@@ -20,9 +20,3 @@ def side_by_side(*single_rows: DataFrame) -> DataFrame:
     unioned = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), single_rows)
     return unioned.agg(*[F.max(c).alias(c) for c in cols])
 
-
-def total_over_all(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Add SUM(col) OVER () to an already aggregated (small) frame."""
-    from pyspark.sql import Window
-
-    return df.withColumn(out, F.sum(col).over(Window.partitionBy()))

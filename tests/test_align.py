@@ -1,6 +1,5 @@
 """Alignment on hand-made trips (FIXTURES §4) and its properties."""
 
-import datetime as dt
 
 import pandas as pd
 from pyspark.sql import functions as F

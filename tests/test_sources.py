@@ -1,6 +1,5 @@
 """Sources and sinks: CSV folders, zip archives, feed and weather documents, tables."""
 
-import io
 import json
 import os
 import zipfile
