@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.operators.sizing import hot_key_rows, max_hot_keys, remembered
+from headway.session import checkpoint_dir
 
 
 def _hot_key(k: str) -> str:
@@ -93,6 +94,13 @@ def sequence_number(
         .withColumn("_hk_pid", F.spark_partition_id())
         .withColumn("_hk_id", F.monotonically_increasing_id())
     )
+    # Slice ids and row ids depend on the physical partitioning, and the
+    # slice table and the rows are two reads of them.  A reliable checkpoint
+    # (shared folder, survives executor loss) makes both reads see the same
+    # materialised rows; without it a re-planned or recomputed exchange could
+    # place a row in another slice.
+    checkpoint_dir(spark)
+    ranged = ranged.checkpoint(eager=True)
     slices = ranged.groupBy(*keys, "_hk_pid").agg(
         F.min("_hk_id").alias("_hk_first"), F.count(F.lit(1)).alias("_hk_cnt")
     )
