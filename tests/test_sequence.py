@@ -43,3 +43,24 @@ def test_check_path_without_hot_keys(spark):
     assert out.count() == df.count()
     per_key = out.groupBy("k").agg(F.max("rn").alias("m"), F.max("n").alias("n")).collect()
     assert all(r.m == r.n for r in per_key)
+
+
+def test_forced_split_inside_alignment_matches_plain(spark):
+    """Many trips on the split path must give the same best offsets as the plain path."""
+    from headway.operators import align as A
+    from headway.sources.fixtures import load_transit
+
+    t = load_transit(spark, "/root/testdata/sf0.001")
+
+    def best():
+        rs, ss = A.rt_sequence(t.rt_updates), A.static_sequence(t.stop_times)
+        cand = A.offset_candidates(t.rt_updates, t.stop_times, t.trips)
+        return sorted(tuple(r) for r in A.best_offsets(A.score_offsets(rs, ss, cand)).collect())
+
+    plain = best()
+    spark.conf.set("headway.skew.hotKeyRows", "3")
+    try:
+        split = best()
+    finally:
+        spark.conf.unset("headway.skew.hotKeyRows")
+    assert split == plain and len(plain) > 0
