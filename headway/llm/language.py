@@ -1,7 +1,8 @@
 """Language ID (operator 8): nearest centroid over TF-IDF vectors of character n-grams.
 
-A text's vector holds the hashed 1- to 3-grams of its lower-case code points, sublinear counts
-times inverse document frequency, scaled to length one.  Each language is stood for by a few
+A text's vector holds the hashed 1- to 3-grams of its lower-case letters (every run of other
+characters counts as one blank, as marks, digits and layout tell nothing of the language),
+sublinear counts times inverse document frequency, scaled to length one.  Each language is stood for by a few
 centroids (spherical k-means over its sample), so that a language with several styles is not
 averaged into one.  The prediction is the language of the centroid with the greatest cosine, and
 the score is that cosine.  A text is rejected when its cosine lies far below what training texts
@@ -34,21 +35,27 @@ MAX_N = 3
 #: Labelled rows per language that the classifier is fitted on, and centroids per language.
 SAMPLE_PER_LANG = 400
 CENTROIDS = 4
-#: Code points of the cut sample texts from which the rejection thresholds are taken.
+#: Letters and blanks of the cut sample texts from which the rejection thresholds are taken.
 LENGTHS = (4, 8, 16, 32, 64, 128, 256, 512, 1024)
 #: A text is rejected below this share of the least cosine that the sample reaches at its length.
 REJECT_SHARE = 0.6
 
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
+_OTHERS = re.compile(r"[\W\d_]+")
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 PREDICTION = struct_type(doc_id=T.LongType(), lang_pred=T.StringType(), score=T.DoubleType(), rejected=T.BooleanType())
 
 
+def letters(text: str) -> str:
+    """The lower-case letters of a whole text, words between single blanks."""
+    return _OTHERS.sub(" ", text.lower())
+
+
 def counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(hashed n-gram, how often) of a whole text."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    """(hashed n-gram, how often) of a whole text as letters() gives it."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     total = np.zeros(DIMENSIONS, np.int64)
     gram = np.zeros(len(points), np.uint64)
     for n in range(1, MAX_N + 1):
@@ -83,6 +90,7 @@ class Classifier:
         """(language, score, rejected) of one text."""
         if not text or not self.langs or not _LETTER.search(text):
             return UNKNOWN, 0.0, True
+        text = letters(text)
         cos = self.cosines(text)
         best = int(cos.argmax())
         score = float(min(1.0, max(0.0, cos[best])))
@@ -107,7 +115,7 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 def fit(rows: list[tuple[str, str]]) -> Classifier:
     """Fit on (text, lang) rows; their number is bounded by the caller."""
-    rows = sorted((lang, text) for text, lang in rows if text and _LETTER.search(text))
+    rows = sorted((lang, letters(text)) for text, lang in rows if text and _LETTER.search(text))
     langs = sorted({lang for lang, _ in rows})
     frequency = np.zeros(DIMENSIONS)
     found = [counts(text) for _, text in rows]
