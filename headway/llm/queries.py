@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import language, packing, secrets, token_files
+from headway.llm import jaccard, language, packing, secrets, token_files
 from headway.llm.common import crc_fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_table(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(read_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = crc_fold("doc_id") == 0
@@ -46,6 +50,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_token_files": op2_token_files,
+    "op3_jaccard_join": op3_jaccard_join,
     "op8_language_id": op8_language_id,
     "op10_packing": op10_packing,
 }
