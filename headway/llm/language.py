@@ -165,14 +165,21 @@ def identify(docs: DataFrame, model: Classifier, keep: list[str] | None = None)
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     keep = keep or []
-    carried = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*keep).alias("row") if keep else F.lit(None).cast("int").alias("row"))
-    schema = T.StructType([*PREDICTION.fields, carried.schema["row"]])
+    others = [c for c in keep if c != "text"]
+    row = F.struct(*others) if others else F.lit(None).cast("int")
+    carried = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row.alias("row"))
+    with_text = ["text"] if "text" in keep else []
+    schema = T.StructType([*PREDICTION.fields, *(carried.schema[c] for c in ["row", *with_text])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             langs, scores, rejected = zip(*map(model.predict, batch.column("text").to_pylist())) if batch.num_rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_()), batch.column("row")], names=schema.names)
+            found = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *found, *(batch.column(c) for c in ["row", *with_text])], names=schema.names)
 
     out = carried.mapInArrow(run, schema)
-    return out.select(*PREDICTION.names, *(F.col("row")[c].alias(c) for c in keep if c not in PREDICTION.names))
+    if not keep:
+        return out.select(*PREDICTION.names)
+    source = {c: F.col("text") if c == "text" else F.col("row")[c] for c in keep}
+    return out.select(*(source[c].alias(c) for c in keep), *(c for c in PREDICTION.names if c not in keep))
