@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import jaccard, language, packing, secrets, token_files
+from headway.llm import bpe, jaccard, language, packing, secrets, token_files
 from headway.llm.common import crc_fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,12 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(read_table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.digests(bpe.decode(encoded, ranks, public_tokenizers.PATTERN))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = crc_fold("doc_id") == 0
@@ -51,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_token_files": op2_token_files,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_byte_bpe": op4_byte_bpe,
     "op8_language_id": op8_language_id,
     "op10_packing": op10_packing,
 }
