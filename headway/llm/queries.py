@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, fingerprints, jaccard, language, packing, secrets, token_files
+from headway.llm import bpe, embeddings, fingerprints, jaccard, language, packing, secrets, token_files
 from headway.llm.common import crc_fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(read_table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = crc_fold("doc_id") == 0
@@ -63,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_fingerprints": op5_fingerprints,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_language_id": op8_language_id,
     "op10_packing": op10_packing,
 }
