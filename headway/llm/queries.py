@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, embeddings, fingerprints, jaccard, language, packing, secrets, token_files
+from headway.llm import bpe, chat, embeddings, fingerprints, jaccard, language, packing, secrets, token_files
 from headway.llm.common import crc_fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(read_table(spark, sf_dir, "documents"))
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(read_table(spark, sf_dir, "conversations"))
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"), least=0.95)
 
@@ -67,9 +71,40 @@ QUERIES: dict[str, Query] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_fingerprints": op5_fingerprints,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_language_id": op8_language_id,
     "op10_packing": op10_packing,
 }
 
-ORACLE: dict[str, str] = {}
+#: Whole conversations as lists of turns; one goes if its list begins a longer one's.  Independent of
+#: the operator's hashes; conversations are compared only where their first turns are equal.
+OP6_SQL = """
+WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+whole AS (
+  SELECT conv_id, list({'turn': turn, 'role': role, 'text': text} ORDER BY turn, role, text) AS said
+  FROM turns GROUP BY conv_id
+),
+same AS (SELECT said, min(conv_id) AS conv_id, count(*) AS copies FROM whole GROUP BY said),
+kept AS (
+  SELECT a.conv_id, len(a.said) AS n_turns, a.copies FROM same a
+  WHERE NOT EXISTS (
+    SELECT 1 FROM same b
+    WHERE b.said[1] = a.said[1] AND len(b.said) > len(a.said) AND list_slice(b.said, 1, len(a.said)) = a.said
+  )
+),
+shown AS (
+  SELECT t.conv_id, t.turn, t.role, k.n_turns, k.copies,
+         '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10) AS rendered
+  FROM turns t JOIN kept k USING (conv_id)
+)
+SELECT conv_id, turn, role, n_turns, copies,
+       CAST(coalesce(sum(length(rendered)) OVER (
+         PARTITION BY conv_id ORDER BY turn, role, rendered ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+       rendered
+FROM shown
+"""
+
+#: Every document's tokens and distinct shingles are out of reach for op3's exact join in SQL at
+#: scale, and classifiers and library tokenizers can't be stated in it: those queries have none.
+ORACLE: dict[str, str] = {"op6_chat_formatting": OP6_SQL}
