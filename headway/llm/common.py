@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from headway.session import checkpoint_dir
 
 #: Arrow batches handed to Python stay under this many bytes, however long single texts are.
-ARROW_BATCH_BYTES = 16 << 20
+ARROW_BATCH_BYTES = 8 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -11,18 +11,26 @@ run belongs together; such a text is handed to the library in one piece.
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 import numpy as np
 
 #: The table is begun anew when it holds so many chunks, or so many characters and ids.
-MAX_CHUNKS = 1_000_000
+MAX_CHUNKS = 800_000
 MAX_HELD = 32_000_000
 #: Characters of text that are cut into chunks at a time.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 #: With a leading space: the cuts of the byte-level pattern at spaces and line feeds.
 _WITH_SPACE = re.compile(r" ?[^ \n]+|\n(?=[^ \n])|[ \n]+(?=[ \n][^ \n])|[ \n]+$")
 _WITHOUT_SPACE = re.compile(r"[^ \n]+")
+#: Texts of printable ASCII and Latin letters only may also be cut behind a run of letters and
+#: digits, unless an apostrophe follows: no piece of the patterns goes on there.
+_NOT_SIMPLE = re.compile(r"[^\x20-\x7e\n\u00c0-\u00ff]")
+_LETTERS = r"\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_SIMPLE_WITH_SPACE = re.compile(rf" ?[0-9A-Za-z{_LETTERS}]++(?!')|" + _WITH_SPACE.pattern)
+_SIMPLE_WITHOUT_SPACE = re.compile(rf"[0-9A-Za-z{_LETTERS}]++(?!')|" + _WITHOUT_SPACE.pattern)
+_ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _UNSAFE = re.compile(r"[^\S \n][ \n]|[ \n][^\S \n]")
 #: A superscript two is a piece of its own under patterns that cut off each numeral.
@@ -35,6 +43,40 @@ _PLAIN = re.compile(rf"[^\s{_NUMERAL}](?:[^\n{_NUMERAL}]*[^\s{_NUMERAL}])?")
 _ENCODERS: dict[tuple[int, bool], CachedEncoder] = {}
 
 
+#: Chunks that every pattern leaves in one piece: Latin letters, in lower case where case is dropped.
+_WORD = re.compile(f" ?[A-Za-z{_LETTERS}]+")
+_LOWER_WORD = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def _byte_alphabet() -> dict[int, int]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the rest for 256, 257, ..."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
+_ALPHABET = _byte_alphabet()
+
+
+def _byte_level(chunk: str) -> str:
+    """A chunk of _WORD in that alphabet; of its ASCII characters only the space is not shown as itself."""
+    if chunk.isascii():
+        return "\u0120" + chunk[1:] if chunk[0] == " " else chunk
+    return chunk.encode().decode("latin-1").translate(_ALPHABET)
+
+
+class _Numbers(dict):
+    """Numbers its keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
+
+
+def _lowered(text: str) -> str:
+    return text.encode().translate(_ASCII_LOWER).decode()
+
+
 class CachedEncoder:
     """Ids of whole texts; equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``."""
 
@@ -43,56 +85,74 @@ class CachedEncoder:
 
         self.tok = Tokenizer.from_str(model_json)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.chunk, self.mark = (_WITH_SPACE, "\n") if keep_space else (_WITHOUT_SPACE, f" {_NUMERAL} ")
+        self.simple, self.chunk, self.mark = (_SIMPLE_WITH_SPACE, _WITH_SPACE, "\n") if keep_space else (_SIMPLE_WITHOUT_SPACE, _WITHOUT_SPACE, f" {_NUMERAL} ")
+        upper, lower = self.tok.encode_batch(["AZ", "az"], add_special_tokens=False)
+        self.lower = upper.ids == lower.ids  # the model tells no cases apart
         (self.mark_id,) = self.tok.encode(self.mark, add_special_tokens=False).ids
+        self.dtype = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.int32
+        self.word = (_WORD if keep_space else _LOWER_WORD).fullmatch
         self.plain = (_PLAIN_SPACED if keep_space else _PLAIN).fullmatch
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.pool = np.empty(1 << 16, np.int32)
+        self.table = _Numbers()
+        self.pool = np.empty(1 << 16, self.dtype)
         self.start = np.zeros((1 << 14) + 1, np.int64)
         self.chars = 0
 
     def _learn(self, new: list[str]) -> None:
-        """Add the ids of unseen chunks to the table."""
-        plain = [c for c in new if self.plain(c)]
-        odd = [c for c in new if not self.plain(c)] if len(plain) < len(new) else []
-        for at in range(0, len(plain), 20_000):
-            part = plain[at : at + 20_000]
+        """Find the ids of unseen chunks; they have the next numbers of the table, in this order."""
+        done = len(self.table) - len(new)
+        word = self.tok.model.tokenize
+        odd = [c for c in new if not self.word(c)]
+        others = iter(self._library_ids(odd))
+        lens, flat = [], []
+        for c in new:
+            if self.word(c):  # one piece, for which the library's model can be asked directly
+                ids = [t.id for t in word(_byte_level(c))]
+            else:
+                ids = next(others)
+            lens.append(len(ids))
+            flat += ids
+        used, total = int(self.start[done]), len(flat)
+        while used + total > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        while done + len(new) + 1 > len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+        self.pool[used : used + total] = flat
+        self.start[done + 1 : done + 1 + len(new)] = used + np.cumsum(lens)
+        self.chars += sum(map(len, new))
+
+    def _library_ids(self, chunks: list[str]) -> list[list[int]]:
+        """Ids of chunks of any kind; most go through the library joined by the separator."""
+        plain = [c for c in chunks if self.plain(c)]
+        found: dict[str, list[int]] = {}
+        for at in range(0, len(plain), 2_000):
+            part = plain[at : at + 2_000]
             (got,) = self.tok.encode_batch_fast([self.mark + self.mark.join(part)], add_special_tokens=False)
-            ids = np.array(got.ids, np.int32)
+            ids = np.array(got.ids)
             begins = np.flatnonzero(ids == self.mark_id)
             assert len(begins) == len(part), "the separator is not a piece of its own under this model"
-            self._add(part, ids[ids != self.mark_id], np.diff(np.append(begins, len(ids))) - 1)
-        for c in odd:
-            ids = np.array(self.tok.encode(c, add_special_tokens=False).ids, np.int32)
-            self._add([c], ids, np.array([len(ids)]))
-
-    def _add(self, chunks: list[str], ids: np.ndarray, lens: np.ndarray) -> None:
-        n, used = len(self.index), int(self.start[len(self.index)])
-        while used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-        while n + len(chunks) + 1 > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-        self.pool[used : used + len(ids)] = ids
-        self.start[n + 1 : n + 1 + len(chunks)] = used + np.cumsum(lens)
-        self.index.update(zip(chunks, range(n, n + len(chunks))))
-        self.chars += sum(map(len, chunks))
+            ends = np.append(begins[1:], len(ids)).tolist()
+            found.update((c, got.ids[a + 1 : b]) for c, a, b in zip(part, begins.tolist(), ends))
+        return [found[c] if c in found else self.tok.encode(c, add_special_tokens=False).ids for c in chunks]
 
     def _cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the number of ids of each text, for texts that may be cut."""
-        flat: list[str] = []
+        if len(self.table) > MAX_CHUNKS or self.chars + self.start[len(self.table)] > MAX_HELD:
+            self._clear()
+        known = len(self.table)
+        codes: list[int] = []
         ends = [0]
         for t in texts:
-            flat += self.chunk.findall(t)
-            ends.append(len(flat))
-        if len(self.index) > MAX_CHUNKS or self.chars + self.start[len(self.index)] > MAX_HELD:
-            self._clear()
-        codes = list(map(self.index.get, flat))
-        if None in codes:
-            self._learn(list({c for c, i in zip(flat, codes) if i is None}))
-            codes = list(map(self.index.__getitem__, flat))
+            if _NOT_SIMPLE.search(t):
+                chunks = self.chunk.findall(t)
+            else:
+                chunks = self.simple.findall(_lowered(t) if self.lower else t)
+            codes += map(self.table.__getitem__, chunks)
+            ends.append(len(codes))
+        if len(self.table) > known:
+            self._learn(list(islice(self.table, known, None)))
         code = np.array(codes, np.int64)
         begin, lens = self.start[code], self.start[code + 1] - self.start[code]
         before = np.concatenate([[0], np.cumsum(lens)])
@@ -100,7 +160,7 @@ class CachedEncoder:
         return ids, np.diff(before[ends])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts one after the other as int32, offsets of the texts in them)."""
+        """(ids of all texts one after the other, offsets of the texts in them)."""
         ids, lens, at = [], [], 0
         while at < len(texts):
             end, chars = at, 0
@@ -112,13 +172,13 @@ class CachedEncoder:
             got, n = self._cut([t for t, w in zip(part, whole) if not w])
             if any(whole):
                 cut = iter(np.split(got, np.cumsum(n)[:-1]))
-                each = [np.array(self.tok.encode(t, add_special_tokens=False).ids, np.int32) if w else next(cut) for t, w in zip(part, whole)]
+                each = [np.array(self.tok.encode(t, add_special_tokens=False).ids, self.dtype) if w else next(cut) for t, w in zip(part, whole)]
                 got, n = np.concatenate(each), np.array([len(e) for e in each], np.int64)
             ids.append(got)
             lens.append(n)
             at = end
         if not ids:
-            return np.empty(0, np.int32), np.zeros(1, np.int64)
+            return np.empty(0, self.dtype), np.zeros(1, np.int64)
         return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(lens))])
 
 
