@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, chat, embeddings, fingerprints, jaccard, language, packing, secrets, token_files
+from headway.llm import bpe, chat, embeddings, fingerprints, jaccard, language, lm, packing, secrets, token_files
 from headway.llm.common import crc_fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return lm.score(docs, crc_fold("doc_id") == 1, public_tokenizers.path("word_bpe_49k.json"), end_id=49407)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     pieces = packing.tokenize_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op6_chat_formatting": op6_chat_formatting,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_language_id": op8_language_id,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_packing": op10_packing,
 }
 
