@@ -45,7 +45,7 @@ _LETTER = re.compile(r"[^\W\d_]")
 _OTHERS = re.compile(r"[\W\d_]+")
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
-PREDICTION = struct_type(doc_id=T.LongType(), lang_pred=T.StringType(), score=T.DoubleType(), rejected=T.BooleanType())
+FOUND = struct_type(lang_pred=T.StringType(), score=T.DoubleType(), rejected=T.BooleanType())
 
 
 def letters(text: str) -> str:
@@ -159,27 +159,27 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Classifier:
     return fit([(r["text"], r["lang"]) for r in training_sample(clean, per_lang).collect()])
 
 
-def identify(docs: DataFrame, model: Classifier, keep: list[str] | None = None) -> DataFrame:
-    """doc_id, lang_pred, score and rejected of every whole text; ``keep`` names columns to carry along."""
+def identified(docs: DataFrame, model: Classifier) -> DataFrame:
+    """row (all columns of ``docs``) and found (the prediction) of every row."""
     spark = docs.sparkSession
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    keep = keep or []
-    others = [c for c in keep if c != "text"]
-    row = F.struct(*others) if others else F.lit(None).cast("int")
-    carried = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row.alias("row"))
-    with_text = ["text"] if "text" in keep else []
-    schema = T.StructType([*PREDICTION.fields, *(carried.schema[c] for c in ["row", *with_text])])
+    others = [c for c in docs.columns if c != "text"]
+    carried = docs.select("text", F.struct(*others).alias("row") if others else F.lit(None).cast("int").alias("row"))
+    schema = T.StructType([T.StructField("found", FOUND), carried.schema["text"], carried.schema["row"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             langs, scores, rejected = zip(*map(model.predict, batch.column("text").to_pylist())) if batch.num_rows else ((), (), ())
-            found = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *found, *(batch.column(c) for c in ["row", *with_text])], names=schema.names)
+            values = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(values, FOUND.names), batch.column("text"), batch.column("row")], names=schema.names)
 
     out = carried.mapInArrow(run, schema)
-    if not keep:
-        return out.select(*PREDICTION.names)
-    source = {c: F.col("text") if c == "text" else F.col("row")[c] for c in keep}
-    return out.select(*(source[c].alias(c) for c in keep), *(c for c in PREDICTION.names if c not in keep))
+    whole = F.struct(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
+    return out.select(whole.alias("row"), "found")
+
+
+def identify(docs: DataFrame, model: Classifier) -> DataFrame:
+    """doc_id, lang_pred, score and rejected of every whole text."""
+    return identified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model).select("row.doc_id", "found.*")

@@ -184,7 +184,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(new, kept).otherwise(acc["out"]).alias("out"))
 
     cleaned = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], F.substring("text", (acc["at"] + 1).cast("int"), F.char_length("text"))))
-    out = docs.withColumn("row_key", row_key()).join(found, "row_key", "left").withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(cleaned))
+    rows = docs.select(F.struct("*").alias("row"), F.col("text"), row_key().alias("row_key")).join(found, "row_key", "left")
+    rows = rows.select("row", F.when(F.col("spans").isNull(), F.col("text")).otherwise(cleaned).alias("clean"), F.col("spans").isNotNull().alias("changed"))
+    new = {"text": F.col("clean")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("bigint")))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("changed"), F.char_length("clean").cast("bigint")).otherwise(F.col("row")["n_chars"])
+    return rows.select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
