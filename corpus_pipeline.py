@@ -21,7 +21,7 @@ from headway.llm.common import read_table, staged
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; null texts, texts without a letter and rejected ones go."""
     model = language.train(docs)
-    return language.identify(docs, model, keep=docs.columns).where(~F.col("rejected")).select(*docs.columns)
+    return language.identified(docs, model).where(~F.col("found.rejected")).select("row.*")
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +31,10 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     found = jaccard.similar_components(docs, words=5, percent=80)
     kept = staged(found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct())
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*(c for c in docs.columns if c != "doc_id")))
-    one = docs.join(kept, "doc_id", "left_semi").withColumn("row_in_id", first).where("row_in_id = 1")
-    return one.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    rows = docs.select("doc_id", F.struct("*").alias("row"))
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("row"))
+    one = rows.join(kept, "doc_id", "left_semi").select("row", first.alias("place")).where("place = 1")
+    return one.unionByName(rows.where(F.col("doc_id").isNull()).select("row", F.lit(1).alias("place"))).select("row.*")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
