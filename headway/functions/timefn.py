@@ -87,6 +87,13 @@ def wall_seconds(ts: Column | str) -> Column:
     )
 
 
+def wall_micros(ts: Column | str) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ (as bigint)."""
+    t = _col(ts)
+    within = F.date_part(F.lit("SECOND"), t) - F.second(t)
+    return wall_seconds(t) * 1_000_000 + (within * 1_000_000).cast("bigint")
+
+
 def minute_diff(start: Column | str, end: Column | str) -> Column:
     """Signed count of minute boundaries crossed from ``start`` to ``end``.
 

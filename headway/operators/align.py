@@ -30,7 +30,6 @@ from headway.functions.timefn import (
 )
 from headway.operators.median import median_count_mean
 from headway.operators.sequence import key_counts, sequence_number
-from headway.operators.sizing import broadcast_if_small
 
 SCORERS = ("median_minutes", "circular_seconds", "aligned_rows")
 
@@ -199,9 +198,7 @@ def trip_meta(trips: DataFrame) -> DataFrame:
 
 
 def stop_meta(stops: DataFrame) -> DataFrame:
-    return broadcast_if_small(
-        stops.select(F.col("stop_id").cast("string").alias("static_stop_id"), "stop_name").distinct()
-    )
+    return stops.select(F.col("stop_id").cast("string").alias("static_stop_id"), "stop_name").distinct()
 
 
 def _aligned_columns(extra: list[Column]) -> list[Column]:

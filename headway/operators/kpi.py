@@ -6,44 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions import constants as K
-from headway.functions.labels import delayed, on_time
-from headway.functions.numeric import count_when, pct, round_half, sum_when
+from headway.functions.numeric import pct
 from headway.functions.timefn import local_wall_clock
-
-
-
-def _d() -> Column:
-    return F.col("delay_minutes")
-
+from headway.operators.histogram import delay_kpis
 
 def n_rows() -> Column:
     return F.count(F.lit(1))
 
 
-def avg_delay() -> Column:
-    return round_half(F.avg(_d()), 2).alias("avg_delay_minutes")
-
-
-def median_delay() -> Column:
-    return round_half(F.median(_d()), 2).alias("median_delay_minutes")
-
-
-def p95_delay() -> Column:
-    return round_half(F.percentile(_d(), F.lit(0.95)), 2).alias("p95_delay_minutes")
-
-
-def on_time_rate() -> Column:
-    return pct(count_when(on_time(_d())), n_rows()).alias("on_time_rate")
-
-
-def on_time_rate_sum() -> Column:
-    return pct(sum_when(on_time(_d())), n_rows()).alias("on_time_rate")
-
-
-def delay_probability() -> Column:
-    return pct(sum_when(delayed(_d())), n_rows()).alias("delay_probability_pct")
-
-
 def observed_rows_by_trip_route(rt_updates: DataFrame, trips: DataFrame) -> DataFrame:
     """Observed rows with an arrival, joined to the trips table for their route."""
     rt = rt_updates.where(F.col("arrival_time_unix").isNotNull() & F.col("trip_id").isNotNull())
@@ -51,17 +21,8 @@ def observed_rows_by_trip_route(rt_updates: DataFrame, trips: DataFrame) -> Data
 
 
 def route_performance(delay: DataFrame, rt_updates: DataFrame, trips: DataFrame) -> DataFrame:
-    raw = observed_rows_by_trip_route(rt_updates, trips).groupBy("route_id").agg(
-        n_rows().alias("raw_rt_rows"), F.countDistinct("trip_id").alias("raw_rt_trips")
-    )
-    matched = delay.groupBy("route_id").agg(
-        F.countDistinct("trip_id").alias("trip_count"),
-        n_rows().alias("stop_event_count"),
-        avg_delay(),
-        median_delay(),
-        p95_delay(),
-        on_time_rate(),
-    )
+    raw = observed_rows_by_trip_route(rt_updates, trips).groupBy("route_id").agg(n_rows().alias("raw_rt_rows"))
+    matched = delay_kpis(delay, ["route_id"])
     # Both sides are per-route aggregates; AQE picks the join at runtime.
     m, r = matched.alias("m"), raw.alias("r")
     return m.join(r, F.col("m.route_id") == F.col("r.route_id"), "left").select(
@@ -81,12 +42,7 @@ def stop_performance(delay: DataFrame, route_perf: DataFrame) -> DataFrame:
     aggregated first and the per-route coverage joins the small result
     (never shuffle the delay layer on a handful of route keys).
     """
-    grouped = delay.groupBy("static_stop_id", "stop_name", "route_id").agg(
-        n_rows().alias("stop_event_count"),
-        avg_delay(),
-        median_delay(),
-        on_time_rate(),
-    )
+    grouped = delay_kpis(delay, ["static_stop_id", "stop_name", "route_id"])
     cov = route_perf.select(
         F.col("route_id").alias("_rc_route"), "coverage_rows", "coverage_trips", "pct_rt_rows_matched"
     )
@@ -106,17 +62,10 @@ def route_hour_performance(
     raw = (
         observed_rows_by_trip_route(rt_updates, trips)
         .groupBy("route_id", F.hour(local_wall_clock("arrival_time_unix", tz)).cast("bigint").alias("hour_of_day"))
-        .agg(n_rows().alias("raw_rt_rows"), F.countDistinct("trip_id").alias("raw_rt_trips"))
-    )
-    matched = delay.groupBy(
-        "route_id", F.hour("actual_arrival_local_ts").cast("bigint").alias("hour_of_day")
-    ).agg(
-        n_rows().alias("stop_event_count"),
-        F.countDistinct("trip_id").alias("trip_count"),
-        avg_delay(),
-        median_delay(),
-        on_time_rate(),
+        .agg(n_rows().alias("raw_rt_rows"))
     )
+    by_hour = delay.withColumn("hour_of_day", F.hour("actual_arrival_local_ts").cast("bigint"))
+    matched = delay_kpis(by_hour, ["route_id", "hour_of_day"])
     # Both sides are per-route aggregates; AQE picks the join at runtime.
     m, r = matched.alias("m"), raw.alias("r")
     on = (F.col("m.route_id") == F.col("r.route_id")) & (F.col("m.hour_of_day") == F.col("r.hour_of_day"))

@@ -4,9 +4,9 @@ A plain window sorts every row of a key inside one task.  When a key holds a
 large share of the rows (a trip polled for days, say) that task dominates the
 job.  Keys above ``headway.skew.hotKeyRows`` rows therefore take a split path:
 the hot rows are range-partitioned on (key, order...) so one key spans many
-tasks, each task numbers its slice, and a small per-(key, slice) table of
-counts gives every slice its starting position.  That table has at most
-``maxHotKeys`` x ``partitions`` rows, which bounds the broadcast.
+tasks, each task numbers its slice, and a per-(key, slice) table of counts
+gives every slice its starting position.  Every hot key is split: there are at
+most rows / hotKeyRows of them, and the joins with their list are planned by size.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.operators.sizing import hot_key_rows, max_hot_keys, remembered
+from headway.operators.sizing import hot_key_rows, remembered
 from headway.session import checkpoint_dir
 
 
@@ -43,7 +43,6 @@ def sequence_number(
     seq_col: str,
     count_col: str | None = None,
     hot_rows: int | None = None,
-    hot_keys: int | None = None,
     force_split: bool | None = None,
 ) -> DataFrame:
     """Add ``seq_col`` = ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order).
@@ -57,7 +56,6 @@ def sequence_number(
     keys = [keys] if isinstance(keys, str) else list(keys)
     spark = df.sparkSession
     hot_rows = hot_key_rows(spark) if hot_rows is None else hot_rows
-    hot_keys = max_hot_keys(spark) if hot_keys is None else hot_keys
     cols = df.columns
 
     counts = key_counts(df, keys, "_hk_n")
@@ -76,11 +74,7 @@ def sequence_number(
     ):
         return plain_window(df)
 
-    hot = F.broadcast(
-        hot_list.orderBy(F.desc("_hk_n"), *keys)
-        .limit(hot_keys)
-        .select(*[F.col(k).alias(_hot_key(k)) for k in keys], "_hk_n")
-    )
+    hot = hot_list.select(*[F.col(k).alias(_hot_key(k)) for k in keys], "_hk_n")
 
     # Plain path: every key that is not hot.
     plain = plain_window(df.join(hot, _null_safe_on(keys), "left_anti"))
@@ -112,7 +106,7 @@ def sequence_number(
         F.coalesce(F.sum("_hk_cnt").over(before), F.lit(0)).alias("_hk_before"),
     )
     numbered = ranged.join(
-        F.broadcast(slices), _null_safe_on(keys, F.col("_hk_pid") == F.col("_hk_slice"))
+        slices, _null_safe_on(keys, F.col("_hk_pid") == F.col("_hk_slice"))
     ).withColumn(seq_col, (F.col("_hk_id") - F.col("_hk_first") + 1 + F.col("_hk_before")).cast("int"))
     out_cols = [*cols, seq_col]
     if count_col:

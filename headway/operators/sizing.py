@@ -1,58 +1,31 @@
-"""Size-checked broadcast and skew settings read from the session."""
+"""Skew settings read from the session."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Largest side (rows) broadcast after an explicit check.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 # Keys with more rows than this are sequenced by the split (hot-key) path.
 DEFAULT_HOT_KEY_ROWS = 2_000_000
-# At most this many hot keys are split; the rest stay on the plain window path
-# (exact, only slower), so the broadcast hot-key table is bounded.
-DEFAULT_MAX_HOT_KEYS = 1_000
-
 
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     value = spark.conf.get(key, None)
     return int(value) if value else default
 
 
-def broadcast_rows_limit(spark: SparkSession) -> int:
-    return conf_int(spark, "headway.broadcast.maxRows", DEFAULT_BROADCAST_ROWS)
-
-
 def hot_key_rows(spark: SparkSession) -> int:
     return conf_int(spark, "headway.skew.hotKeyRows", DEFAULT_HOT_KEY_ROWS)
 
 
-def max_hot_keys(spark: SparkSession) -> int:
-    return conf_int(spark, "headway.skew.maxHotKeys", DEFAULT_MAX_HOT_KEYS)
-
-
 _DECISIONS: dict[tuple, bool] = {}
 
 
 def remembered(df: DataFrame, tag: str, check) -> bool:
     """Run a plan-level check once per (session, plan, tag).
 
-    Used only for physical-path choices (broadcast or not, split hot keys or
-    not); both outcomes give the same result, so a remembered answer can make
+    Used only for physical-path choices (split hot keys or not); both outcomes give the same result, so a remembered answer can make
     a later run slower but never wrong.
     """
     key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tag)
     if key not in _DECISIONS:
         _DECISIONS[key] = bool(check())
     return _DECISIONS[key]
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Above the bound the frame
-    is returned unchanged and the join falls back to a shuffle join.
-    """
-    limit = max_rows if max_rows is not None else broadcast_rows_limit(df.sparkSession)
-    small = remembered(df, f"rows<={limit}", lambda: df.limit(limit + 1).count() <= limit)
-    return F.broadcast(df) if small else df

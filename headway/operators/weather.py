@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions import constants as K
-from headway.functions.labels import is_raining, precipitation_bucket
+from headway.functions.labels import is_raining, on_time, precipitation_bucket
 from headway.functions.numeric import count_when, pct, round_half
 from headway.functions.timefn import parse_local_hour, trunc_hour
-from headway.operators.kpi import avg_delay, median_delay, n_rows, on_time_rate, p95_delay
-from headway.operators.sizing import broadcast_if_small
+from headway.operators.histogram import delay_kpis
+from headway.operators.kpi import n_rows
 
 
 def weather_by_hour(weather: DataFrame) -> DataFrame:
@@ -34,7 +36,6 @@ def enrich_weather(delay: DataFrame, weather: DataFrame, dedupe_hours: bool = Fa
     w = weather_by_hour(weather)
     if dedupe_hours:
         w = w.dropDuplicates(["weather_local_hour"])
-    w = broadcast_if_small(w)
     d = delay.withColumn("actual_arrival_local_hour", trunc_hour(F.col("actual_arrival_local_ts")))
     joined = d.join(w, d["actual_arrival_local_hour"] == w["weather_local_hour"], "left")
     p = F.col("precipitation_mm")
@@ -49,26 +50,24 @@ def enrich_weather(delay: DataFrame, weather: DataFrame, dedupe_hours: bool = Fa
 
 
 def weather_impact(enriched: DataFrame) -> DataFrame:
-    return enriched.groupBy("precipitation_bucket", "is_raining").agg(
-        n_rows().alias("stop_event_count"),
-        F.countDistinct("trip_id").alias("trip_count"),
-        avg_delay(),
-        median_delay(),
-        p95_delay(),
-        on_time_rate(),
+    keys = ["precipitation_bucket", "is_raining"]
+    return delay_kpis(enriched, keys).select(
+        *keys, "stop_event_count", "trip_count", "avg_delay_minutes", "median_delay_minutes", "p95_delay_minutes", "on_time_rate"
     )
 
 
 def route_weather_impact(enriched: DataFrame) -> DataFrame:
-    return enriched.groupBy("route_id", "precipitation_bucket", "is_raining").agg(
-        n_rows().alias("stop_event_count"),
-        F.countDistinct("trip_id").alias("trip_count"),
-        avg_delay(),
-        median_delay(),
-        on_time_rate(),
+    keys = ["route_id", "precipitation_bucket", "is_raining"]
+    means = enriched.groupBy(*keys).agg(
         round_half(F.avg("temperature_c"), 2).alias("avg_temperature_c"),
         round_half(F.avg("windspeed_kmh"), 2).alias("avg_windspeed_kmh"),
     )
+    kpis = delay_kpis(enriched, keys).alias("k")
+    same = reduce(lambda a, b: a & b, (F.col(f"k.{c}").eqNullSafe(F.col(f"m.{c}")) for c in keys))
+    return kpis.join(means.alias("m"), same).select(
+        *(F.col(f"k.{c}") for c in keys), "stop_event_count", "trip_count", "avg_delay_minutes", "median_delay_minutes",
+        "on_time_rate", "avg_temperature_c", "avg_windspeed_kmh",
+    )
 
 
 def weather_join_quality(enriched: DataFrame) -> DataFrame:
@@ -80,8 +79,8 @@ def weather_join_quality(enriched: DataFrame) -> DataFrame:
         count_when(unknown).alias("weather_unknown_rows"),
         pct(count_when(known), n_rows()).alias("weather_match_rate"),
         count_when(F.col("is_raining")).alias("rainy_rows"),
-        avg_delay(),
-        median_delay(),
+        round_half(F.avg("delay_minutes"), 2).alias("avg_delay_minutes"),
+        round_half(F.median("delay_minutes"), 2).alias("median_delay_minutes"),
     )
 
 
@@ -95,7 +94,7 @@ def dry_vs_rainy(enriched: DataFrame) -> DataFrame:
     return known.groupBy(_weather_type().alias("weather_type")).agg(
         n_rows().alias("rows"),
         round_half(F.avg("delay_minutes"), 2).alias("avg_delay"),
-        on_time_rate(),
+        pct(count_when(on_time(F.col("delay_minutes"))), n_rows()).alias("on_time_rate"),
     )
 
 

@@ -20,8 +20,8 @@ from headway.operators.sequence import sequence_number
 
 # Parameters of the derivation (shared with the DuckDB oracle text).
 FEED_EPOCH = 1704096000            # 2024-01-01 00:00 America/Los_Angeles, in unix seconds
-TIMETABLE_SNAPSHOT = "2001-01-01"  # orders dated before this are timetable trips
-WINDOW_MIN_VALUE = 100.0           # events of at least this value open a window
+UNLISTED_SINCE = "2001-01-01"      # feeds of orders dated from then on carry an id that no timetable lists
+LATE_EVERY, LATE_SECONDS = 41, 4500  # every so many trips run so much later
 TAIL_DROP_PRIORITIES = ("2-HIGH", "4-NOT SPECIFIED")  # feeds of these orders miss the last stop
 AS_OF = "2024-01-15 06:00:00"      # forecast start hour used by the registered queries
 
@@ -54,12 +54,14 @@ def _hms(secs: Column) -> Column:
     )
 
 
-def _iso_minute(ts: Column) -> Column:
-    """yyyy-MM-ddTHH:mm of a TIMESTAMP_NTZ, built from its fields."""
+def _weather_time(ts: Column) -> Column:
+    """A whole hour in one of the four accepted layouts, by turns: with "T" or a blank, with seconds or without."""
     return F.concat(
         F.year(ts).cast("string"), F.lit("-"), _two(F.month(ts)), F.lit("-"), _two(F.dayofmonth(ts)),
-        F.lit("T"), _two(F.hour(ts)), F.lit(":"), _two(F.minute(ts)),
-    )
+        F.when(F.pmod(F.hour(ts), F.lit(2)) == 0, F.lit("T")).otherwise(F.lit(" ")),
+        _two(F.hour(ts)), F.lit(":"), _two(F.minute(ts)),
+        F.when(F.pmod(F.hour(ts), F.lit(4)) >= 2, F.lit(":00")).otherwise(F.lit("")),
+    )
 
 
 def _plus_minutes(ts: Column, minutes: Column) -> Column:
@@ -82,7 +84,7 @@ def stop_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_transit(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> TransitTables:
     """Derive the transit tables; ``lines`` may be a persisted ``stop_lines`` result."""
     orders = _read(spark, sf_dir, "orders")
-    trips = orders.where(F.col("o_orderdate") < F.lit(TIMETABLE_SNAPSHOT).cast("timestamp_ntz")).select(
+    trips = orders.select(
         F.col("o_orderkey").cast("string").alias("trip_id"),
         F.col("o_orderpriority").alias("route_id"),
         F.pmod(F.col("o_orderkey"), F.lit(2)).cast("int").alias("direction_id"),
@@ -113,16 +115,21 @@ def load_transit(spark: SparkSession, sf_dir: str, lines: DataFrame | None = Non
         .when(F.col("o_orderstatus") == "O", F.lit(1))
         .otherwise(F.lit(2)).alias("head_skip"),
         F.when(F.col("o_orderpriority").isin(*TAIL_DROP_PRIORITIES), F.lit(1)).otherwise(F.lit(0)).alias("tail_drop"),
+        (F.col("o_orderdate") >= F.lit(UNLISTED_SINCE).cast("timestamp_ntz")).alias("unlisted"),
+        F.col("o_orderpriority").alias("priority"),
     )
     sched = sched.join(observed, sched["k"] == observed["_ok"]).drop("_ok")
     head_skip, tail_drop = F.col("head_skip"), F.col("tail_drop")
     shift = F.pmod(k, F.lit(30)) * 86400 + F.col("a") + (F.pmod(k * 7, F.lit(900)) - 180) + F.pmod(p, F.lit(120))
+    shift = shift + F.when(F.pmod(k, F.lit(LATE_EVERY)) == 0, F.lit(LATE_SECONDS)).otherwise(F.lit(0))
     poll = F.concat(F.lit("2024-01-"), _two(F.pmod(k, F.lit(30)) + 1), F.lit("T00:00:00+00:00"))
     rt_updates = sched.where((F.col("pos") > head_skip) & (F.col("pos") <= F.col("cnt") - tail_drop)).select(
-        k.cast("string").alias("trip_id"),
-        F.lit(None).cast("string").alias("route_id"),
-        F.concat(F.lit("R"), F.col("s").cast("string"), F.lit("-"), (F.pmod(n, F.lit(2)) + 1).cast("string")).alias("stop_id"),
-        F.lit(0).cast("int").alias("stop_sequence"),
+        F.when(F.col("unlisted"), F.concat(F.lit("U"), k.cast("string"))).otherwise(k.cast("string")).alias("trip_id"),
+        F.when(F.pmod(k, F.lit(4)) != 0, F.col("priority")).alias("route_id"),
+        F.when(F.pmod(n, F.lit(3)) == 0, F.col("s").cast("string"))
+        .otherwise(F.concat(F.lit("R"), F.col("s").cast("string"), F.lit("-"), F.pmod(n, F.lit(3)).cast("string")))
+        .alias("stop_id"),
+        (F.col("pos") - head_skip).cast("int").alias("stop_sequence"),
         F.when(F.pmod(k + n, F.lit(97)) == 0, F.lit(None)).otherwise(F.lit(FEED_EPOCH) + shift).cast("bigint").alias("arrival_time_unix"),
         F.when(F.pmod(k + n, F.lit(89)) == 0, F.lit(None)).otherwise(F.lit(FEED_EPOCH + 30) + shift).cast("bigint").alias("departure_time_unix"),
         poll.alias("poll_timestamp"),
@@ -133,7 +140,7 @@ def load_transit(spark: SparkSession, sf_dir: str, lines: DataFrame | None = Non
     ev_hour = events.groupBy(trunc_hour(F.col("ts")).alias("h")).agg(F.sum("event_id").cast("bigint").alias("e"))
     e = F.col("e")
     weather = ev_hour.select(
-        _iso_minute(F.col("h")).alias("observation_datetime"),
+        _weather_time(F.col("h")).alias("observation_datetime"),
         F.when(F.pmod(e, F.lit(7)) == 1, F.lit(0.4))
         .when(F.pmod(e, F.lit(7)) == 2, F.lit(2.0))
         .when(F.pmod(e, F.lit(7)) == 3, F.lit(7.0))
@@ -146,8 +153,7 @@ def load_transit(spark: SparkSession, sf_dir: str, lines: DataFrame | None = Non
         F.lit("2024-02-01T00:00:00+00:00").alias("loaded_at"),
     )
 
-    big = events.where(F.col("value") >= WINDOW_MIN_VALUE)
-    event_windows = big.where(F.col("event_type") == "purchase").select(
+    event_windows = events.where(F.col("event_type") == "purchase").select(
         F.col("event_id").cast("string").alias("event_id"),
         F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("event_name"),
         F.when(F.pmod(F.col("user_id"), F.lit(3)) == 0, F.lit("concert"))
@@ -159,7 +165,7 @@ def load_transit(spark: SparkSession, sf_dir: str, lines: DataFrame | None = Non
         _plus_minutes(F.col("ts"), F.lit(30) + F.pmod(F.col("event_id"), F.lit(180))).alias("window_end_local_ts"),
         F.lit("medium").alias("severity"),
     )
-    alert_windows = big.where(F.col("event_type") == "error").select(
+    alert_windows = events.where(F.col("event_type") == "error").select(
         F.col("event_id").cast("string").alias("alert_id"),
         F.when(F.pmod(F.col("user_id"), F.lit(2)) == 0, F.lit("equipment")).otherwise(F.lit("police")).alias("alert_type"),
         F.lit("bay").alias("region"),

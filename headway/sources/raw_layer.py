@@ -26,7 +26,7 @@ from headway.sources.fixtures import TransitTables, load_transit, stop_lines
 
 TRIP_KEYED = ("trips", "stop_times", "rt_updates")
 FIELDS = ("trips", "stops", "routes", "stop_times", "rt_updates", "weather", "event_windows", "alert_windows")
-MAPPING_VERSION = "v4"
+MAPPING_VERSION = "v5"
 _BUILD_LOCK = threading.RLock()  # one writer per staged table when queries run from several threads
 
 
