@@ -187,6 +187,7 @@ def alignment_summary(aligned: DataFrame) -> DataFrame:
         F.countDistinct("trip_id").alias("distinct_trip_ids"),
         F.countDistinct("route_id").alias("distinct_route_ids"),
         count_when(F.col("route_id").isNull()).alias("null_route_ids"),
+        F.countDistinct(F.when(F.col("best_offset") != 0, F.col("trip_id"))).alias("trips_with_nonzero_offset"),
     )
 
 

@@ -16,7 +16,7 @@ from headway.operators import align as A
 from headway.operators import delay as DL
 from headway.operators import kpi
 from headway.sources.fixtures import TransitTables
-from headway.sources.raw_layer import raw_transit, staged
+from headway.sources.raw_layer import default_buckets, raw_transit, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -647,11 +647,93 @@ def _flatten_hourly_weather(t):
     return WS.flatten_hourly_weather(docs, loaded_at="2024-02-01T00:00:00+00:00")
 
 
+@query("static_csv_stop_times")
+def _static_csv_stop_times(t):
+    """Timetable written as a CSV folder and loaded with the required-member guard (A1, A2)."""
+    from headway.sources.static import STATIC_MEMBERS, read_static
+    from headway.streaming.polls import scratch_folder
+
+    spark = t.rt_updates.sparkSession
+    folder = scratch_folder(spark, "static-csv")
+    tables = {"gtfs_stops": t.stops, "gtfs_routes": t.routes, "gtfs_trips": t.trips, "gtfs_stop_times": t.stop_times}
+    for member, (table, _) in STATIC_MEMBERS.items():
+        tables[table].write.option("header", True).csv(f"{folder}/{member}")
+    return read_static(spark, folder)["gtfs_stop_times"].drop("loaded_at")
+
+
+@query("append_poll_log")
+def _append_poll_log(t):
+    """Rows appended to the poll log; an empty batch appends nothing."""
+    from headway.streaming.polls import scratch_folder
+
+    spark = t.rt_updates.sparkSession
+    log = scratch_folder(spark, "append-log")
+    for batch in (t.rt_updates, t.rt_updates.where(F.lit(False))):
+        RT.append_polls(batch, log)
+    return spark.read.parquet(log)
+
+
+@query("weather_day_range")
+def _weather_day_range(t):
+    """Weather of the week up to a day."""
+    return WS.restrict_days(t.weather, "2024-01-15", 7)
+
+
+@query("refreshed_route_mart")
+def _refreshed_route_mart(t):
+    """A mart table replaced by a full refresh and read back."""
+    from headway.sources.tables import write_table
+    from headway.streaming.polls import scratch_folder
+
+    spark = t.rt_updates.sparkSession
+    path = scratch_folder(spark, "route-mart")
+    for mart in (route_perf(t).limit(1), route_perf(t)):
+        write_table(mart, path)
+    return spark.read.parquet(path)
+
+
+@query("event_windows_absent")
+def _event_windows_absent(t):
+    """Event impact without a window table: every row is outside."""
+    from headway import schemas
+    from headway.operators import windows as WN
+    from headway.sources.tables import read_or_empty
+    from headway.streaming.polls import scratch_folder
+
+    spark = t.rt_updates.sparkSession
+    absent = read_or_empty(spark, scratch_folder(spark, "no-windows"), schemas.EVENT_WINDOWS)
+    return WN.event_window_impact(enriched(t), absent)
+
+
+@query("route_filter")
+def _route_filter(t):
+    """Stop mart of one route."""
+    return EX.filter_route(stop_perf(t), "1-URGENT")
+
+
+@query("offset_bucket_order")
+def _offset_bucket_order(t):
+    """Offset buckets in their own order (F2)."""
+    from headway.functions.labels import offset_bucket_rank
+
+    ranked = CV.offset_distribution(delay_layer(t)).withColumn("bucket_rank", offset_bucket_rank(F.col("offset_bucket")))
+    return ranked.orderBy("bucket_rank")
+
+
+@query("rt_schedule_first_rows")
+def _rt_schedule_first_rows(t):
+    """The first 20 observed rows beside their trip and timetable rows."""
+    rows = AU.schedule_lookup(t.rt_updates, t.trips, t.stop_times)
+    return rows.orderBy(*(F.asc_nulls_last(c) for c in rows.columns)).limit(20)
+
+
 # ---- streaming ----------------------------------------------------------------
 
-def _write_feed(t: TransitTables, folder: str, files: int = 4) -> None:
-    docs = RT.build_feed_documents(t.rt_updates)
-    docs.repartition(files, "poll_timestamp").write.mode("overwrite").json(folder)
+def _write_polls(t: TransitTables, folder: str, part: int) -> None:
+    """One of two polls of every trip, as feed documents spread by trip; together they hold all rows."""
+    mine = F.pmod(F.xxhash64("stop_id", "arrival_time_unix", "departure_time_unix"), F.lit(2)) == part
+    docs = RT.build_feed_documents(t.rt_updates.where(mine))
+    docs.repartition(F.col("entity")[0]["trip_update"]["trip"]["trip_id"]).write.mode("append").json(folder)
 
 
 @query("stream_poll_append")
@@ -661,26 +743,40 @@ def _stream_poll_append(t):
 
     spark = t.rt_updates.sparkSession
     base = scratch_folder(spark, "poll-append")
-    _write_feed(t, f"{base}/feed")
-    q = start_poll_append(spark, f"{base}/feed", f"{base}/polls", f"{base}/ckpt", max_files_per_trigger=2)
-    q.awaitTermination()
+    for part in (0, 1):  # the second run goes on from the first one's checkpoint
+        _write_polls(t, f"{base}/feed", part)
+        start_poll_append(spark, f"{base}/feed", f"{base}/polls", f"{base}/ckpt").awaitTermination()
     return spark.read.parquet(f"{base}/polls")
 
 
+def _refreshed(t: TransitTables, label: str, marts: bool) -> str:
+    """Stream both polls of every trip through the refresh; returns the folder of its outputs."""
+    from headway.streaming.polls import scratch_folder, start_delay_refresh
+
+    spark = t.rt_updates.sparkSession
+    base = scratch_folder(spark, label)
+    for part in (0, 1):
+        _write_polls(t, f"{base}/feed", part)
+        start_delay_refresh(
+            spark, f"{base}/feed", f"{base}/polls", f"{base}/delay", f"{base}/ckpt",
+            t.stop_times, t.trips, t.stops, buckets=default_buckets(spark), marts_dir=f"{base}/marts" if marts else None,
+        ).awaitTermination()
+    return base
+
+
 @query("stream_delay_refresh")
 def _stream_delay_refresh(t):
     """Streamed polls refresh the delay layer of touched trips; equals the batch layer."""
     from headway.operators.delay import DELAY_COLUMNS
-    from headway.streaming.polls import scratch_folder, start_delay_refresh
 
-    spark = t.rt_updates.sparkSession
-    base = scratch_folder(spark, "delay-refresh")
-    _write_feed(t, f"{base}/feed")
-    q = start_delay_refresh(
-        spark, f"{base}/feed", f"{base}/polls", f"{base}/delay", f"{base}/ckpt",
-        t.stop_times, t.trips, t.stops, max_files_per_trigger=2,
-    )
-    q.awaitTermination()
+    base = _refreshed(t, "delay-refresh", marts=False)
     cols = list(DELAY_COLUMNS)
     cols.insert(4, "best_offset")
-    return spark.read.parquet(f"{base}/delay").select(*cols)
+    return t.rt_updates.sparkSession.read.parquet(f"{base}/delay").select(*cols)
+
+
+@query("stream_mart_refresh")
+def _stream_mart_refresh(t):
+    """The route mart after streamed polls have refreshed delay layer and marts; equals the batch mart."""
+    base = _refreshed(t, "mart-refresh", marts=True)
+    return t.rt_updates.sparkSession.read.parquet(f"{base}/marts/route_performance")

@@ -13,8 +13,8 @@ same session reuse them.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,30 +60,49 @@ def default_buckets(spark: SparkSession) -> int:
     return int(value) if value else int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _db_name(sf_dir: str) -> str:
-    digest = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{MAPPING_VERSION}".encode()).hexdigest()[:10]
+INPUTS = ("orders", "lineitem", "supplier", "events")
+
+
+def _input_state(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Name, size and modification time of every input file, by the file system that holds them."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    state = []
+    for name in INPUTS:
+        files = path_of(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        for status in files.getFileSystem(conf).listStatus(files):
+            state.append(f"{status.getPath()}|{status.getLen()}|{status.getModificationTime()}")
+    return sorted(state)
+
+
+def _db_name(spark: SparkSession, sf_dir: str) -> str:
+    """A name that changes with the inputs, so tables derived from other data are never reused."""
+    digest = hashlib.sha1("\n".join([MAPPING_VERSION, *_input_state(spark, sf_dir)]).encode()).hexdigest()[:10]
     return f"headway_raw_{digest}"
 
 
 def write_raw_layer(spark: SparkSession, sf_dir: str, db: str, buckets: int) -> None:
     """Derive and write the raw tables; the numbered line items are written first and shared."""
-    base = os.path.join(checkpoint_dir(spark), db)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/{db}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{base}'")
-    lines = os.path.join(base, "stop_lines")
+    lines = f"{base}/stop_lines"
     lines_bucketed = _save(stop_lines(spark, sf_dir), f"{db}.stop_lines", lines, "k", buckets)
     tables = load_transit(spark, sf_dir, lines=spark.table(f"{db}.stop_lines"))
     # A trip's timetable and feed rows are subsets of one order's line items and
     # trips hold one row per order, so the line-item check covers every
     # trip-keyed table.
-    for field in FIELDS:
+    def save(field: str) -> None:
         key = "trip_id" if field in TRIP_KEYED and lines_bucketed else None
-        _save(getattr(tables, field), f"{db}.{field}", os.path.join(base, field), key, buckets, check=False)
+        _save(getattr(tables, field), f"{db}.{field}", f"{base}/{field}", key, buckets, check=False)
+
+    with ThreadPoolExecutor(max_workers=4) as pool:  # independent tables, written at the same time
+        list(pool.map(save, FIELDS))
     _TRIP_BUCKETED[db] = lines_bucketed
 
 
 def raw_transit(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> TransitTables:
     """The transit tables for ``sf_dir`` from the session's raw layer (built on first use)."""
-    db = _db_name(sf_dir)
+    db = _db_name(spark, sf_dir)
     with _BUILD_LOCK:
         if not all(spark.catalog.tableExists(f"{db}.{f}") for f in FIELDS):
             write_raw_layer(spark, sf_dir, db, buckets or default_buckets(spark))
@@ -104,7 +123,7 @@ def staged(t: TransitTables, name: str, build, bucket_by: str | None = "trip_id"
     table = f"{t.source_key}.{name}"
     with _BUILD_LOCK:
         if not spark.catalog.tableExists(table):
-            path = os.path.join(checkpoint_dir(spark), t.source_key, name)
+            path = f"{checkpoint_dir(spark).rstrip('/')}/{t.source_key}/{name}"
             key = bucket_by if _TRIP_BUCKETED.get(t.source_key, False) else None
             _save(build(), table, path, key, default_buckets(spark), check=False)
     return spark.table(table)

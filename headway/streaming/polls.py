@@ -1,30 +1,33 @@
-"""Structured Streaming: continuous poll append (S1) and delay refresh.
+"""Structured Streaming: continuous poll append (S1) and refresh of delay layer and marts.
 
 S1 reads feed documents as they land in a folder, flattens them and appends
 the rows to the poll log.  S2 does the same inside ``foreachBatch`` and then
 recomputes the delay layer for the trips a batch touched: the best offset of
 a trip depends on all of its rows, so it is recomputed rather than updated
-from state.  Trips are grouped into ``trip_bucket`` partitions and only the
-touched buckets are rewritten (dynamic partition overwrite), so a replayed
-batch rewrites the same partitions and the sink stays exactly-once.
+from state.  Poll log, timetable and delay layer are all stored by
+``trip_bucket``, so a batch reads and rewrites the touched buckets only.  A
+touched bucket that comes back without rows is removed, as its trips no longer
+align.  A replayed batch does the same again, so the sink stays exactly-once.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from headway import schemas
+from headway.operators import kpi
 from headway.operators.align import align_best_offset
 from headway.operators.delay import delay_layer
 from headway.session import checkpoint_dir
 from headway.sources.realtime import RT_COLUMNS, flatten_trip_updates
+from headway.sources.tables import write_table
 
-DEFAULT_TRIP_BUCKETS = 64
+DEFAULT_TRIP_BUCKETS = 256
 
 
 def trip_bucket(col: str = "trip_id", buckets: int = DEFAULT_TRIP_BUCKETS) -> Column:
@@ -60,6 +63,17 @@ def start_poll_append(
     return writer.start()
 
 
+def write_by_bucket(df: DataFrame, path: str, buckets: int) -> None:
+    """Store rows of a trip-keyed table by trip bucket."""
+    bucketed = df.withColumn("trip_bucket", trip_bucket(buckets=buckets))
+    bucketed.repartition("trip_bucket").write.mode("overwrite").partitionBy("trip_bucket").parquet(path)
+
+
+def _remove_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def refresh_touched_trips(
     touched_rows: DataFrame,
     poll_log: DataFrame,
@@ -68,20 +82,36 @@ def refresh_touched_trips(
     stops: DataFrame,
     out_dir: str,
     buckets: int = DEFAULT_TRIP_BUCKETS,
+    snapshot: str | None = None,
 ) -> None:
-    """Recompute the delay layer of every trip bucket touched by ``touched_rows``."""
-    touched = touched_rows.select(trip_bucket(buckets=buckets).alias("trip_bucket")).distinct()
-    touched = F.broadcast(touched)  # at most ``buckets`` rows
-    rt = poll_log.withColumn("trip_bucket", trip_bucket(buckets=buckets)).join(touched, "trip_bucket", "left_semi")
-    st = stop_times.withColumn("trip_bucket", trip_bucket(buckets=buckets)).join(touched, "trip_bucket", "left_semi")
-    delay = delay_layer(align_best_offset(rt.drop("trip_bucket"), st.drop("trip_bucket"), trips, stops))
-    (
-        delay.withColumn("trip_bucket", trip_bucket(buckets=buckets))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("trip_bucket")
-        .parquet(out_dir)
-    )
+    """Recompute the delay layer of every trip bucket touched by ``touched_rows``.
+
+    ``poll_log`` and ``stop_times`` carry trip_bucket as their partition column.
+    """
+    spark = touched_rows.sparkSession
+    rows = touched_rows.select(trip_bucket(buckets=buckets).alias("trip_bucket")).where("trip_bucket is not null").distinct()
+    touched = [r["trip_bucket"] for r in rows.collect()]  # at most ``buckets`` numbers
+    if not touched:
+        return
+    own = F.col("trip_bucket").isin(touched)
+    rt, st = poll_log.where(own).drop("trip_bucket"), stop_times.where(own).drop("trip_bucket")
+    delay = delay_layer(align_best_offset(rt, st, trips, stops, snapshot=snapshot))
+    pending = f"{out_dir.rstrip('/')}-pending"
+    write_by_bucket(delay, pending, buckets)
+    schema = delay.withColumn("trip_bucket", F.lit(0)).schema
+    fresh = spark.read.schema(schema).parquet(pending)
+    filled = {r["trip_bucket"] for r in fresh.select("trip_bucket").distinct().collect()}
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("trip_bucket").parquet(out_dir)
+    for bucket in set(touched) - filled:
+        _remove_folder(spark, f"{out_dir.rstrip('/')}/trip_bucket={bucket}")
+
+
+def refresh_marts(delay: DataFrame, rt_updates: DataFrame, trips: DataFrame, out_dir: str) -> None:
+    """Rewrite the route, stop and route-hour marts from the delay layer as it stands."""
+    write_table(kpi.route_performance(delay, rt_updates, trips), f"{out_dir}/route_performance")
+    routes = delay.sparkSession.read.parquet(f"{out_dir}/route_performance")
+    write_table(kpi.stop_performance(delay, routes), f"{out_dir}/stop_performance")
+    write_table(kpi.route_hour_performance(delay, rt_updates, trips), f"{out_dir}/route_hour_performance")
 
 
 def start_delay_refresh(
@@ -96,14 +126,26 @@ def start_delay_refresh(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
     buckets: int = DEFAULT_TRIP_BUCKETS,
+    snapshot: str | None = None,
+    marts_dir: str | None = None,
 ) -> StreamingQuery:
-    """S1 + S2: log each batch (idempotently, one folder per batch id) and refresh touched trips."""
+    """S1 + S2: log each batch (idempotently, one folder per batch id), refresh touched trips, then the marts.
+
+    ``marts_dir``: where the marts are rewritten after each batch; they are left alone without it.
+    """
+    timetable_dir = f"{poll_log_dir.rstrip('/')}-timetable"
+    write_by_bucket(stop_times, timetable_dir, buckets)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
         batch = batch.select(*RT_COLUMNS)
-        batch.write.mode("overwrite").parquet(os.path.join(poll_log_dir, f"batch_id={batch_id}"))
-        poll_log = batch.sparkSession.read.parquet(poll_log_dir).select(*RT_COLUMNS)
-        refresh_touched_trips(batch, poll_log, stop_times, trips, stops, delay_dir, buckets)
+        write_by_bucket(batch, f"{poll_log_dir.rstrip('/')}/batch_id={batch_id}", buckets)
+        logged = T.StructType([*batch.schema.fields, T.StructField("batch_id", T.LongType()), T.StructField("trip_bucket", T.IntegerType())])
+        poll_log = session.read.schema(logged).parquet(poll_log_dir).select(*RT_COLUMNS, "trip_bucket")
+        timetable = session.read.parquet(timetable_dir)
+        refresh_touched_trips(batch, poll_log, timetable, trips, stops, delay_dir, buckets, snapshot)
+        if marts_dir:
+            refresh_marts(session.read.parquet(delay_dir), poll_log, trips, marts_dir)
 
     writer = poll_stream(spark, feed_dir, max_files_per_trigger).writeStream.foreachBatch(on_batch).option(
         "checkpointLocation", checkpoint_location
@@ -115,4 +157,4 @@ def start_delay_refresh(
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint directory."""
     base = checkpoint_dir(spark)
-    return os.path.join(base, f"{label}-{uuid.uuid4().hex[:12]}")
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

@@ -17,9 +17,18 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
-    for name in E.queries():
-        assert not name.startswith("op") and name != "pipeline"
+    from headway.plans.catalog import QUERIES
+    from headway.plans.oracle import ORACLE
+
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_entry_works_without_the_optional_subpackage(monkeypatch):
+    monkeypatch.setattr(E, "find_spec", lambda name: None)
+    from headway.plans.catalog import QUERIES
+
+    assert set(E.queries()) == set(QUERIES) == set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", ["route_performance", "stop_performance", "event_window_impact", "risk_forecast",

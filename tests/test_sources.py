@@ -103,3 +103,19 @@ def test_tables(spark, tmp_dir):
     assert TB.safe_table(spark, "no_such_table_xyz") is None
     spark.range(2).createOrReplaceTempView("present_view")
     assert TB.table_presence(spark, ["present_view", "absent_view"]) == {"present_view": True, "absent_view": False}
+
+
+def test_raw_layer_follows_its_input(spark, tmp_dir):
+    """New files under the same path are read anew in the same session."""
+    import shutil
+
+    from headway.sources.raw_layer import INPUTS, raw_transit
+
+    for name in INPUTS:
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", f"{tmp_dir}/{name}.parquet")
+    before = raw_transit(spark, tmp_dir).trips.count()
+    few = spark.read.parquet(f"{tmp_dir}/orders.parquet").limit(10).toPandas()
+    spark.createDataFrame(few).coalesce(1).write.parquet(f"{tmp_dir}/new.parquet")
+    os.remove(f"{tmp_dir}/orders.parquet")
+    os.rename(f"{tmp_dir}/new.parquet", f"{tmp_dir}/orders.parquet")
+    assert before > 10 and raw_transit(spark, tmp_dir).trips.count() == 10
