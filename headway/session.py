@@ -18,8 +18,6 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Inputs bucketed by trip_id also satisfy joins on (trip_id, other keys).
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

@@ -106,6 +106,10 @@ def raw_transit(spark: SparkSession, sf_dir: str, buckets: int | None = None) ->
     with _BUILD_LOCK:
         if not all(spark.catalog.tableExists(f"{db}.{f}") for f in FIELDS):
             write_raw_layer(spark, sf_dir, db, buckets or default_buckets(spark))
+    co_located = _TRIP_BUCKETED.get(db, False)
+    # Tables bucketed by trip also serve joins on (trip_id, position) where they lie.  With a hot
+    # trip they are not bucketed, and such joins must spread it over all their keys.
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", str(not co_located).lower())
     return TransitTables(*[spark.table(f"{db}.{f}") for f in FIELDS], source_key=db)
 
 

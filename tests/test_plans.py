@@ -33,3 +33,23 @@ def test_hot_key_tables_are_not_bucketed(spark):
     finally:
         spark.conf.unset("headway.skew.hotKeyRows")
     assert bucketable(df, "trip_id") is True
+
+
+def test_hot_trips_are_spread_over_the_full_keys(spark):
+    """Without bucketing, the placement join and the histogram are exchanged on all their keys."""
+    from headway.sources.fixtures import load_transit
+
+    conf = {"headway.skew.hotKeyRows": "5", "spark.sql.requireAllClusterKeysForCoPartition": "true", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        t = load_transit(spark, SMOKE)
+        rs, ss = A.rt_sequence(t.rt_updates), A.static_sequence(t.stop_times)
+        scores = A.score_offsets(rs, ss, A.offset_candidates(t.rt_updates, t.stop_times, t.trips))
+        plan = scores._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+    exchanged = [re.sub(r"#\d+L?", "", x) for x in re.findall(r"hashpartitioning\(([^)]*)\)", plan)]
+    assert any(x.startswith("trip_id, static_seq") for x in exchanged)
+    assert any(x.startswith("trip_id, seq_offset, ") for x in exchanged)
