@@ -17,14 +17,25 @@ def components(edges: DataFrame) -> DataFrame:
     before the shuffle; nothing of a component is collected in one place.  Nulls have no links.
     """
     known = edges.where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    nodes = known.select(F.col("a").alias("node")).union(known.select("b")).distinct()
-    labels = staged(nodes.withColumn("label", F.xxhash64("node")))
+    named = known.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.xxhash64("node"))
     live = staged(known.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b")).where("a != b").distinct())
+    parents: list[DataFrame] = []
     while not live.isEmpty():
-        both = live.union(live.select("b", "a"))
-        parent = staged(both.groupBy(F.col("a").alias("label")).agg(F.least(F.min("b"), F.col("label")).alias("parent")))
-        labels = staged(labels.join(parent, "label", "left").select("node", F.coalesce("parent", "label").alias("label")))
-        left = live.join(parent.withColumnsRenamed({"label": "a", "parent": "x"}), "a")
-        live = staged(left.join(parent.withColumnsRenamed({"label": "b", "parent": "y"}), "b").where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    smallest = staged(labels.groupBy("label").agg(F.min("node").alias("component_id")))
-    return labels.join(smallest, "label").select("node", "component_id")
+        both = live.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
+        parent = both.groupBy(F.col("e.a").alias("label")).agg(F.min("e.b").alias("least"))
+        parents.append(staged(parent.select("label", F.least("least", "label").alias("parent"))))
+        first = live.join(parents[-1].withColumnsRenamed({"label": "a", "parent": "x"}), "a")
+        second = first.join(parents[-1].withColumnsRenamed({"label": "b", "parent": "y"}), "b").where("x != y")
+        live = staged(second.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    # what a label points to in the end, from the last round back to the first
+    final = None
+    for parent in reversed(parents):
+        if final is not None:
+            later = final.select(F.col("label").alias("parent"), F.col("parent").alias("last"))
+            parent = parent.join(later, "parent", "left").select("label", F.coalesce("last", "parent").alias("parent"))
+        final = parent
+    if final is not None:
+        named = named.join(final, "label", "left").select("node", F.coalesce("parent", "label").alias("label"))
+    named = staged(named)
+    smallest = named.groupBy("label").agg(F.min("node").alias("component_id"))
+    return named.join(smallest, "label").select("node", "component_id")

@@ -9,12 +9,12 @@ classes are joined.
 2. Rare first.  The frequencies of the prefix elements are counted exactly.  Within the extended
    prefixes, ordered by frequency, at least k elements being shared again means that the first
    few - elements that no other class has come first, and need no index - share one or two.
-3. Index.  Rare elements are indexed singly.  Frequent ones (in more than ``RARE`` classes) are
-   indexed by pairs, for which the prefix is longer by one; sets so small or so large that pairs
-   can't be demanded, or would be many, are indexed by single elements there as well.  Which form
-   holds depends on the smaller size of two sets, and a set enters every form it may need.
-4. Candidates.  Members of an index entry are compared by size and by a 1,024-bit parity signature,
-   whose Hamming distance can't exceed the size of the symmetric difference, so no true pair is
+3. Index.  Rare elements are indexed singly.  Frequent ones (in more than ``rare`` classes) are
+   indexed by pairs, for which the prefix is longer by one; sets so small that pairs can't be
+   demanded, or so large that they would multiply the entries by more than ``pair_factor``, are
+   indexed by single elements there as well.  Which form holds depends on the smaller size of two
+   sets, and a set enters every form it may need.
+4. Candidates.  Members of an index entry are compared by size and by a parity signature, whose Hamming distance can't exceed the size of the symmetric difference, so no true pair is
    lost.  Large entries are cut into blocks, and block meets block in tasks of their own.  Of the
    pairs that pass, an entry returns a spanning forest only, not all pairs.
 5. Verification.  Forest edges are checked on the whole sets.  Entries in which an edge fails return
@@ -28,6 +28,7 @@ no rows; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +40,22 @@ from headway.llm.common import bounded_batches, id_text, staged, struct_type
 from headway.llm.components import components
 from headway.llm.shingles import mix, set_id, shingle_sets
 
-#: Elements in at most so many classes are rare.
-RARE = 8
-#: Pairs of frequent elements are indexed where the smaller set has at most this size.
-PAIR_SIZE = 200
-#: Members of an index entry that are compared in one task at most.
-BLOCK = 1024
-SIGNATURE_BITS = 1024
+
+@dataclass(frozen=True)
+class Tuning:
+    """None of these changes the result, only what is compared where."""
+
+    #: Elements in at most so many classes are rare.
+    rare: int = 8
+    #: Pairs of frequent elements are indexed for sets whose entries they multiply by this at most.
+    pair_factor: int = 4
+    #: Members of an index entry that are compared in one task at most.
+    block: int = 2048
+    #: Bits of the parity signature.
+    bits: int = 1024
+
+
+TUNING = Tuning()
 
 SETS = struct_type(doc_id=T.LongType(), node=T.LongType(), n=T.IntegerType(), prefix=T.ArrayType(T.LongType()), bits=T.BinaryType())
 KEYS = struct_type(node=T.LongType(), key=T.LongType())
@@ -66,13 +76,13 @@ def extended_size(n: int, percent: int) -> int:
     return min(n, 2 * prefix_size(n, percent) - 1) if n else 0
 
 
-def signature(hashes: np.ndarray) -> bytes:
+def signature(hashes: np.ndarray, bits: int) -> bytes:
     """For each of the bits, whether an odd number of elements falls on it."""
-    odd = np.bincount((hashes >> np.uint64(32)).astype(np.int64) % SIGNATURE_BITS, minlength=SIGNATURE_BITS) & 1
+    odd = np.bincount((hashes >> np.uint64(32)).astype(np.int64) % bits, minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def document_sets(docs: DataFrame, words: int, percent: int, tuning: Tuning = TUNING) -> DataFrame:
     """doc_id, node (the id of its set), n (its size), extended prefix and signature."""
     bounded_batches(docs.sparkSession)
 
@@ -88,7 +98,7 @@ def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     pa.array([set_id(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.ListArray.from_arrays(offsets, flat),
-                    pa.array([signature(s) for s in sets], pa.binary()),
+                    pa.array([signature(s, tuning.bits) for s in sets], pa.binary()),
                 ],
                 names=SETS.names,
             )
@@ -96,7 +106,16 @@ def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return id_text(docs).mapInArrow(run, SETS)
 
 
-def index_keys(n: int, hashes: np.ndarray, frequency: np.ndarray, percent: int) -> np.ndarray:
+def pair_sizes(percent: int, factor: int) -> range:
+    """Sizes of the smaller of two sets for which frequent elements are indexed by pairs."""
+    able = (n for n in range(1, 10_000) if prefix_size(n, percent) > 1)  # below, one shared element is all to rely on
+    first = next(able)
+    # f elements have f (f - 1) / 2 pairs
+    fits = (n for n in range(first, 10_000) if prefix_size(n, percent) > 2 * factor)
+    return range(first, next(fits))
+
+
+def index_keys(n: int, hashes: np.ndarray, frequency: np.ndarray, percent: int, tuning: Tuning = TUNING) -> np.ndarray:
     """Index keys of a set, from the elements of its extended prefix that other classes have, too."""
     order = np.lexsort((hashes, frequency))
     hashes, frequency = hashes[order], frequency[order]
@@ -104,13 +123,13 @@ def index_keys(n: int, hashes: np.ndarray, frequency: np.ndarray, percent: int)
     alone = size - len(hashes)
     least = least_partner(n, percent)
     shared = prefix_size(least, percent)
-    smallest = next(m for m in range(1, 1000) if prefix_size(m, percent) > 1)
-    by_pairs = n >= smallest and least <= PAIR_SIZE
-    singly = least < smallest or n > PAIR_SIZE
+    paired = pair_sizes(percent, tuning.pair_factor)
+    by_pairs = n >= paired.start and least < paired.stop
+    singly = least < paired.start or n >= paired.stop
     one = max(0, size - shared + 1 - alone)
     two = max(0, size - max(shared, 2) + 2 - alone)
     reach = max(one if singly else 0, two if by_pairs else 0)
-    rare = frequency <= RARE
+    rare = frequency <= tuning.rare
     keys = [hashes[:reach][rare[:reach]]]
     if singly:
         keys.append(hashes[:one][~rare[:one]])
@@ -122,7 +141,7 @@ def index_keys(n: int, hashes: np.ndarray, frequency: np.ndarray, percent: int)
     return np.concatenate(keys)
 
 
-def index(sets: DataFrame, percent: int) -> DataFrame:
+def index(sets: DataFrame, percent: int, tuning: Tuning = TUNING) -> DataFrame:
     """Index entries with two members or more: key, block pair (i, j), own block, node, n, bits."""
     classes = staged(sets.where("n > 0").groupBy("node").agg(F.min(F.struct("n", "prefix", "bits")).alias("s")).select("node", "s.*"))
     elements = classes.select("node", F.explode("prefix").alias("element"))
@@ -137,13 +156,13 @@ def index(sets: DataFrame, percent: int) -> DataFrame:
             hashes = np.asarray(lists.values.field("element")).view(np.uint64)
             frequency = np.asarray(lists.values.field("frequency"))
             sizes = batch.column("n").to_pylist()
-            keys = [index_keys(n, hashes[a:b], frequency[a:b], percent) for n, a, b in zip(sizes, offsets, offsets[1:])]
+            keys = [index_keys(n, hashes[a:b], frequency[a:b], percent, tuning) for n, a, b in zip(sizes, offsets, offsets[1:])]
             node = np.repeat(np.asarray(batch.column("node")), [len(k) for k in keys])
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.concatenate([*keys, np.empty(0, np.uint64)]).view(np.int64))], names=KEYS.names)
 
     keys = staged(members.mapInArrow(run, KEYS))
     sizes = staged(keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    blocks = F.ceil(F.col("size") / tuning.block).cast("int")
     own = F.when(blocks > 1, F.pmod(F.hash("node"), blocks)).otherwise(0)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     placed = (
@@ -157,14 +176,13 @@ def index(sets: DataFrame, percent: int) -> DataFrame:
 
 def passing(n: np.ndarray, bits: np.ndarray, own: np.ndarray, across: bool, percent: int) -> np.ndarray:
     """Matrix of the pairs that size and signature allow; ``across``: only between the two blocks."""
-    small, large = np.minimum.outer(n, n), np.maximum.outer(n, n)
-    sizes = n[:, None] + n[None, :]
-    # overlap >= t/(1+t) * (x + y), so the symmetric difference is at most (1-t)/(1+t) * (x + y)
-    most = sizes * (100 - percent) // (100 + percent)
-    distance = np.zeros(small.shape, np.int64)
+    distance = np.zeros((len(n), len(n)), np.uint16)
     for word in bits.T:
         distance += np.bitwise_count(word[:, None] ^ word[None, :])
-    ok = (100 * small >= percent * large) & (distance <= most)
+    # overlap >= t/(1+t) * (x + y), so the symmetric difference is at most (1-t)/(1+t) * (x + y)
+    ok = distance <= (n[:, None] + n[None, :]) * (100 - percent) // (100 + percent)
+    ok &= 100 * n[:, None] >= percent * n[None, :]
+    ok &= 100 * n[None, :] >= percent * n[:, None]
     np.fill_diagonal(ok, False)
     if across:
         ok &= own[:, None] != own[None, :]
@@ -189,7 +207,7 @@ def forest(ok: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def entry_pairs(entries: DataFrame, percent: int, labelled: bool) -> DataFrame:
+def entry_pairs(entries: DataFrame, percent: int, labelled: bool, tuning: Tuning = TUNING) -> DataFrame:
     """Candidate pairs of every index entry: a spanning forest, or (``labelled``) all pairs of different label."""
     columns = ["key", "i", "j", "own", "node", "n", "bits", *(["label"] if labelled else [])]
     spread = entries.select(*columns).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
@@ -237,7 +255,7 @@ def entry_pairs(entries: DataFrame, percent: int, labelled: bool) -> DataFrame:
         for batch in batches:
             data = {c: np.asarray(batch.column(c)) for c in names}
             data["n"] = data["n"].astype(np.int64)
-            data["bits"] = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(-1, SIGNATURE_BITS // 64)
+            data["bits"] = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(-1, tuning.bits // 64)
             if rest is not None:
                 data = {k: np.concatenate([rest[k], v]) for k, v in data.items()}
             if len(data["key"]):
@@ -255,6 +273,8 @@ def verified(pairs: DataFrame, docs: DataFrame, ids: DataFrame, words: int, perc
     ``ids``: node and one doc_id of its class, whose text is shingled again.
     """
     pairs = staged(pairs.select("a", "b").distinct())
+    if pairs.isEmpty():
+        return pairs.withColumn("linked", F.lit(False))
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     texts = id_text(docs).join(ids.join(wanted, "node", "left_semi").select("doc_id"), "doc_id", "left_semi")
     schema = struct_type(node=T.LongType(), elements=T.ArrayType(T.LongType()))
@@ -275,20 +295,26 @@ def verified(pairs: DataFrame, docs: DataFrame, ids: DataFrame, words: int, perc
     return staged(both.select("a", "b", (100 * shared >= percent * union).alias("linked")))
 
 
-def similar_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def remaining_links(docs: DataFrame, ids: DataFrame, entries: DataFrame, edges: DataFrame, checked: DataFrame, labels: DataFrame, words: int, percent: int, tuning: Tuning) -> DataFrame:
+    """Links between components in those entries whose forest had an edge that failed."""
+    failed = staged(edges.join(checked.where(~F.col("linked")), ["a", "b"], "left_semi").select("key", "i", "j").distinct())
+    if failed.isEmpty():
+        return checked.select("a", "b").limit(0)
+    left = entries.join(failed, ["key", "i", "j"], "left_semi").join(labels.withColumnRenamed("component_id", "label"), "node", "left")
+    again = entry_pairs(left.withColumn("label", F.coalesce("label", "node")), percent, labelled=True, tuning=tuning)
+    return verified(again.join(checked, ["a", "b"], "left_anti"), docs, ids, words, percent).where("linked").select("a", "b")
+
+
+def similar_components(docs: DataFrame, words: int, percent: int, tuning: Tuning = TUNING) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row of ``docs``."""
-    sets = staged(document_sets(docs, words, percent))
+    sets = staged(document_sets(docs, words, percent, tuning))
     ids = staged(sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
-    entries = staged(index(sets, percent))
-    edges = staged(entry_pairs(entries, percent, labelled=False))
+    entries = staged(index(sets, percent, tuning))
+    edges = staged(entry_pairs(entries, percent, labelled=False, tuning=tuning))
     checked = verified(edges, docs, ids, words, percent)
     links = checked.where("linked").select("a", "b")
-    failed = edges.join(checked.where(~F.col("linked")), ["a", "b"], "left_semi").select("key", "i", "j").distinct()
     labels = staged(components(links))
-    left = entries.join(failed, ["key", "i", "j"], "left_semi").join(labels.withColumnRenamed("component_id", "label"), "node", "left")
-    again = entry_pairs(left.withColumn("label", F.coalesce("label", "node")), percent, labelled=True)
-    again = again.join(checked, ["a", "b"], "left_anti")
-    late = verified(again, docs, ids, words, percent).where("linked").select("a", "b")
+    late = remaining_links(docs, ids, entries, edges, checked, labels, words, percent, tuning)
     if not late.isEmpty():
         labels = staged(components(links.union(late)))
     classes = ids.join(labels, "node", "left").select("node", "doc_id", F.coalesce("component_id", "node").alias("component"))
