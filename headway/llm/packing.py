@@ -20,7 +20,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,8 +58,8 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, window: i
             raw = memoryview(ids.astype("<u4")).cast("B")
             crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(begin.tolist(), end.tolist())]
             lists = pa.ListArray.from_arrays(np.append(begin, end[-1:]).astype(np.int32), ids)
-            doc_id = np.asarray(batch.column("doc_id"))[doc]
-            yield pa.RecordBatch.from_arrays([pa.array(doc_id), pa.array(start), pa.array(end - begin), lists, pa.array(crc, pa.int64()), pa.array(n[doc])], names=PIECES.names)
+            doc_id = batch.column("doc_id").take(pa.array(doc))  # nulls stay nulls
+            yield pa.RecordBatch.from_arrays([doc_id, pa.array(start), pa.array(end - begin), lists, pa.array(crc, pa.int64()), pa.array(n[doc])], names=PIECES.names)
 
     return id_text(docs).mapInArrow(cut, PIECES)
 
@@ -130,13 +129,14 @@ def pack(pieces: DataFrame, window: int = WINDOW, group_pieces: int = GROUP_PIEC
     groups = max(1, -(-total // group_pieces))
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
-    def place(key: tuple[int], group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop(columns="pack_group").sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable")
+    def place(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        group = group.drop_columns(["pack_group"]).sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
         sequence, offset = best_fit_decreasing(group["length"].to_numpy(), window)
-        return group.assign(sequence_id=(int(key[0]) << 32) + sequence, offset=offset)
+        first = key[0].as_py() << 32
+        return group.append_column("sequence_id", pa.array(first + sequence)).append_column("offset", pa.array(offset))
 
     dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
-    return dealt.groupBy("pack_group").applyInPandas(place, schema)
+    return dealt.groupBy("pack_group").applyInArrow(place, schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
