@@ -28,13 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headway.llm.common import bounded_batches, id_text, struct_type
+from headway.llm.tokens import ChunkTable
 
 #: Longest piece that is merged in a matrix, in bytes; rows of a matrix; cells of a matrix.
 LONGEST_ROW = 256
 MATRIX_CELLS = 1 << 20
-#: Chunks and bytes that a process remembers before it begins anew.
-MAX_CHUNKS = 600_000
-MAX_HELD = 24_000_000
 
 IDS = struct_type(doc_id=T.LongType(), ids=T.ArrayType(T.IntegerType()))
 DECODED = struct_type(doc_id=T.LongType(), ids=T.ArrayType(T.IntegerType()), decoded=T.BinaryType())
@@ -87,9 +85,11 @@ class PairTable:
         return rank
 
 
-class RankModel:
+class RankModel(ChunkTable):
     """The ranks of a byte-level vocabulary: token bytes <-> id."""
 
+    max_chunks = 500_000
+
     def __init__(self, ranks_file: bytes, pattern: str):
         pairs = (line.split() for line in ranks_file.splitlines() if line)
         self.rank = {base64.b64decode(token): int(rank) for token, rank in pairs}
@@ -107,12 +107,7 @@ class RankModel:
         self.pairs = PairTable(joined)
         self.joined = joined
         self.split = regex.compile(pattern).findall
-        self.clear()
-
-    def clear(self) -> None:
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
-        self.held = 0
+        super().__init__(keep_space=True, lower=False, dtype=np.uint16 if len(self.token) <= 1 << 16 else np.int32)
 
     def merge_matrix(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of pieces of similar length: all rows merge once a round."""
@@ -176,52 +171,36 @@ class RankModel:
                     heapq.heappush(heap, (r, x, ids[x], ids[y]))
         return tuple(i for i in ids if i >= 0)
 
-    def learn(self, pieces: set[str]) -> None:
-        """Merge the pieces that are new, bucketed by length."""
+    def merged(self, pieces: set[str]) -> dict[str, tuple[int, ...]]:
+        """The ids of each piece; those that need merging are bucketed by length."""
+        found: dict[str, tuple[int, ...]] = {}
         buckets: dict[int, list[tuple[str, bytes]]] = {}
-        for piece in pieces - self.pieces.keys():
+        for piece in pieces:
             raw = piece.encode("utf-8", "surrogatepass")
             if raw in self.rank:
-                self.pieces[piece] = (self.rank[raw],)
+                found[piece] = (self.rank[raw],)
             elif len(raw) > LONGEST_ROW:
-                self.pieces[piece] = self.merge_long(raw)
+                found[piece] = self.merge_long(raw)
             else:
                 buckets.setdefault((len(raw) + 3) // 4, []).append((piece, raw))
-            self.held += len(raw)
         for quarter, bucket in buckets.items():
             step = max(1, MATRIX_CELLS // (4 * quarter + 1))
             for at in range(0, len(bucket), step):
                 part = bucket[at : at + step]
-                self.pieces.update(zip((p for p, _ in part), self.merge_matrix([raw for _, raw in part])))
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """The ids of each whole text."""
-        cut = [self.cut(t) for t in texts]
-        if len(self.chunks) > MAX_CHUNKS or self.held > MAX_HELD:
-            self.clear()
-        new = {c for chunks in cut for c in chunks} - self.chunks.keys()
-        split = {c: self.split(c) for c in new}
-        self.learn({p for pieces in split.values() for p in pieces})
-        known = self.pieces
-        for chunk, pieces in split.items():
-            self.chunks[chunk] = tuple(i for p in pieces for i in known[p])
-            self.held += len(chunk)
-        table = self.chunks
-        return [[i for c in chunks for i in table[c]] for chunks in cut]
-
-    def cut(self, text: str) -> list[str]:
-        """The text in chunks that the pattern never joins: a run of spaces and line feeds leads each.
-
-        Where other white space adjoins, the run might begin earlier; such a text is one chunk.
-        """
-        return [text] if _UNSAFE.search(text) else _CHUNK.findall(text)
+                found.update(zip((p for p, _ in part), self.merge_matrix([raw for _, raw in part])))
+        return found
+
+    def ids_of(self, chunks: list[str]) -> Iterator[list[int]]:
+        for at in range(0, len(chunks), 50_000):
+            split = [self.split(c) for c in chunks[at : at + 50_000]]
+            known = self.merged({p for pieces in split for p in pieces})
+            for pieces in split:
+                yield [i for p in pieces for i in known[p]]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.token[i] for i in ids])
 
 
-_CHUNK = regex.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_UNSAFE = regex.compile(r"[^\S \n][ \n]")
 _MODELS: dict[int, RankModel] = {}
 
 
@@ -240,19 +219,8 @@ def _shared(spark: SparkSession, ranks_path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-#: Characters of text that are encoded at a time.
-SLICE_CHARS = 2_000_000
-
-
-def slices(texts: list[str]) -> Iterator[list[str]]:
-    at = 0
-    while at < len(texts):
-        end, chars = at, 0
-        while end < len(texts) and (end == at or chars + len(texts[end]) <= SLICE_CHARS):
-            chars += len(texts[end])
-            end += 1
-        yield texts[at:end]
-        at = end
+def _ids_column(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(offsets.astype(np.int32), ids.astype(np.int32))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -264,12 +232,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = rank_model(ranks.value, pattern)
         for batch in batches:
-            at = 0
-            for texts in slices(batch.column("text").to_pylist()):
-                ids = model.encode(texts)
-                doc_id = batch.column("doc_id").slice(at, len(texts))
-                yield pa.RecordBatch.from_arrays([doc_id, pa.array(ids, pa.list_(pa.int32()))], names=IDS.names)
-                at += len(texts)
+            ids = _ids_column(*model.encode(batch.column("text").to_pylist()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], names=IDS.names)
 
     return id_text(docs).mapInArrow(run, IDS)
 
@@ -283,14 +247,28 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = rank_model(ranks.value, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                decoded = [None if ids is None else model.decode(ids) for ids in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(decoded, pa.binary())], names=DECODED.names)
+            decoded = [None if ids is None else model.decode(ids) for ids in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(decoded, pa.binary())], names=DECODED.names)
 
     return encoded.select("doc_id", "ids").mapInArrow(run, DECODED)
 
 
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """doc_id, ids and, from the ids, the decoded bytes: encode and decode in one pass over the data."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    ranks = _shared(spark, ranks_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = rank_model(ranks.value, pattern)
+        for batch in batches:
+            ids, offsets = model.encode(batch.column("text").to_pylist())
+            decoded = [model.decode(ids[a:b].tolist()) for a, b in zip(offsets, offsets[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _ids_column(ids, offsets), pa.array(decoded, pa.binary())], names=DECODED.names)
+
+    return id_text(docs).mapInArrow(run, DECODED)
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (decimal ids joined by one space) and decoded_sha256."""
     spelled = F.array_join(F.col("ids").cast("array<string>"), " ")

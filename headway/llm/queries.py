@@ -36,8 +36,7 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(encoded, ranks, public_tokenizers.PATTERN))
+    return bpe.digests(bpe.round_trip(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ run belongs together; such a text is handed to the library in one piece.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
@@ -65,7 +66,7 @@ def _byte_level(chunk: str) -> str:
     return chunk.encode().decode("latin-1").translate(_ALPHABET)
 
 
-class _Numbers(dict):
+class Numbers(dict):
     """Numbers its keys in the order in which they are first asked for."""
 
     def __missing__(self, key: str) -> int:
@@ -77,25 +78,25 @@ def _lowered(text: str) -> str:
     return text.encode().translate(_ASCII_LOWER).decode()
 
 
-class CachedEncoder:
-    """Ids of whole texts; equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``."""
+class ChunkTable:
+    """Ids of whole texts, chunk by chunk; subclasses know the ids of a chunk.
 
-    def __init__(self, model_json: str, keep_space: bool):
-        from tokenizers import Tokenizer
+    The table is begun anew when it holds more than ``max_chunks`` or ``MAX_HELD``.
+    """
 
-        self.tok = Tokenizer.from_str(model_json)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.simple, self.chunk, self.mark = (_SIMPLE_WITH_SPACE, _WITH_SPACE, "\n") if keep_space else (_SIMPLE_WITHOUT_SPACE, _WITHOUT_SPACE, f" {_NUMERAL} ")
-        upper, lower = self.tok.encode_batch(["AZ", "az"], add_special_tokens=False)
-        self.lower = upper.ids == lower.ids  # the model tells no cases apart
-        (self.mark_id,) = self.tok.encode(self.mark, add_special_tokens=False).ids
-        self.dtype = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.int32
-        self.word = (_WORD if keep_space else _LOWER_WORD).fullmatch
-        self.plain = (_PLAIN_SPACED if keep_space else _PLAIN).fullmatch
+    max_chunks = MAX_CHUNKS
+
+    def __init__(self, keep_space: bool, lower: bool, dtype: type):
+        self.simple, self.chunk = (_SIMPLE_WITH_SPACE, _WITH_SPACE) if keep_space else (_SIMPLE_WITHOUT_SPACE, _WITHOUT_SPACE)
+        self.lower, self.dtype = lower, dtype
         self._clear()
 
+    def ids_of(self, chunks: list[str]) -> Iterator[list[int]]:
+        """The ids of each chunk, which may be any text."""
+        raise NotImplementedError
+
     def _clear(self) -> None:
-        self.table = _Numbers()
+        self.table = Numbers()
         self.pool = np.empty(1 << 16, self.dtype)
         self.start = np.zeros((1 << 14) + 1, np.int64)
         self.chars = 0
@@ -103,15 +104,8 @@ class CachedEncoder:
     def _learn(self, new: list[str]) -> None:
         """Find the ids of unseen chunks; they have the next numbers of the table, in this order."""
         done = len(self.table) - len(new)
-        word = self.tok.model.tokenize
-        odd = [c for c in new if not self.word(c)]
-        others = iter(self._library_ids(odd))
         lens, flat = [], []
-        for c in new:
-            if self.word(c):  # one piece, for which the library's model can be asked directly
-                ids = [t.id for t in word(_byte_level(c))]
-            else:
-                ids = next(others)
+        for ids in self.ids_of(new):
             lens.append(len(ids))
             flat += ids
         used, total = int(self.start[done]), len(flat)
@@ -123,23 +117,9 @@ class CachedEncoder:
         self.start[done + 1 : done + 1 + len(new)] = used + np.cumsum(lens)
         self.chars += sum(map(len, new))
 
-    def _library_ids(self, chunks: list[str]) -> list[list[int]]:
-        """Ids of chunks of any kind; most go through the library joined by the separator."""
-        plain = [c for c in chunks if self.plain(c)]
-        found: dict[str, list[int]] = {}
-        for at in range(0, len(plain), 2_000):
-            part = plain[at : at + 2_000]
-            (got,) = self.tok.encode_batch_fast([self.mark + self.mark.join(part)], add_special_tokens=False)
-            ids = np.array(got.ids)
-            begins = np.flatnonzero(ids == self.mark_id)
-            assert len(begins) == len(part), "the separator is not a piece of its own under this model"
-            ends = np.append(begins[1:], len(ids)).tolist()
-            found.update((c, got.ids[a + 1 : b]) for c, a, b in zip(part, begins.tolist(), ends))
-        return [found[c] if c in found else self.tok.encode(c, add_special_tokens=False).ids for c in chunks]
-
     def _cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the number of ids of each text, for texts that may be cut."""
-        if len(self.table) > MAX_CHUNKS or self.chars + self.start[len(self.table)] > MAX_HELD:
+        if len(self.table) > self.max_chunks or self.chars + self.start[len(self.table)] > MAX_HELD:
             self._clear()
         known = len(self.table)
         codes: list[int] = []
@@ -172,7 +152,7 @@ class CachedEncoder:
             got, n = self._cut([t for t, w in zip(part, whole) if not w])
             if any(whole):
                 cut = iter(np.split(got, np.cumsum(n)[:-1]))
-                each = [np.array(self.tok.encode(t, add_special_tokens=False).ids, self.dtype) if w else next(cut) for t, w in zip(part, whole)]
+                each = [np.array(next(iter(self.ids_of([t]))), self.dtype) if w else next(cut) for t, w in zip(part, whole)]
                 got, n = np.concatenate(each), np.array([len(e) for e in each], np.int64)
             ids.append(got)
             lens.append(n)
@@ -182,6 +162,44 @@ class CachedEncoder:
         return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(lens))])
 
 
+class CachedEncoder(ChunkTable):
+    """Ids as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
+
+    def __init__(self, model_json: str, keep_space: bool):
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_str(model_json)
+        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        upper, lower = self.tok.encode_batch(["AZ", "az"], add_special_tokens=False)
+        # where the model tells no cases apart, neither does the table
+        super().__init__(keep_space, upper.ids == lower.ids, np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.int32)
+        self.mark = "\n" if keep_space else f" {_NUMERAL} "
+        (self.mark_id,) = self.tok.encode(self.mark, add_special_tokens=False).ids
+        self.word = (_WORD if keep_space else _LOWER_WORD).fullmatch
+        self.plain = (_PLAIN_SPACED if keep_space else _PLAIN).fullmatch
+
+    def ids_of(self, chunks: list[str]) -> Iterator[list[int]]:
+        word = self.tok.model.tokenize
+        others = iter(self._library_ids([c for c in chunks if not self.word(c)]))
+        for c in chunks:
+            # one piece, for which the library's model can be asked directly
+            yield [t.id for t in word(_byte_level(c))] if self.word(c) else next(others)
+
+    def _library_ids(self, chunks: list[str]) -> list[list[int]]:
+        """Ids of chunks of any kind; most go through the library joined by the separator."""
+        plain = [c for c in chunks if self.plain(c)]
+        found: dict[str, list[int]] = {}
+        for at in range(0, len(plain), 2_000):
+            part = plain[at : at + 2_000]
+            (got,) = self.tok.encode_batch_fast([self.mark + self.mark.join(part)], add_special_tokens=False)
+            ids = np.array(got.ids)
+            begins = np.flatnonzero(ids == self.mark_id)
+            assert len(begins) == len(part), "the separator is not a piece of its own under this model"
+            ends = np.append(begins[1:], len(ids)).tolist()
+            found.update((c, got.ids[a + 1 : b]) for c, a, b in zip(part, begins.tolist(), ends))
+        return [found[c] if c in found else self.tok.encode(c, add_special_tokens=False).ids for c in chunks]
+
+
 def encoder(model_json: str, keep_space: bool) -> CachedEncoder:
     """The process's encoder for this model; Spark's reused workers keep its table between tasks."""
     key = (hash(model_json), keep_space)

@@ -38,7 +38,7 @@ def documents(spark, texts):
 @pytest.mark.parametrize("path,keep_space", [(BYTE, True), (WORD, False)])
 def test_cached_encoder_equals_library(path, keep_space, monkeypatch):
     monkeypatch.setattr(tokens, "SLICE_CHARS", 500)
-    monkeypatch.setattr(tokens, "MAX_CHUNKS", 50)  # the table is begun anew in between
+    monkeypatch.setattr(tokens.ChunkTable, "max_chunks", 50)  # the table is begun anew in between
     encoder = tokens.CachedEncoder(tokens.model_text(path), keep_space)
     texts = odd_texts()
     ids, offsets = encoder.encode(texts)
@@ -82,7 +82,8 @@ def test_bpe_equals_tiktoken_and_decodes(spark):
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rng = random.Random(4)
     texts = [*odd_texts(), *("".join(rng.choice("abcdeéxthing") for _ in range(rng.randint(1, 300))) for _ in range(200)), None]
-    out = bpe.decode(bpe.encode(documents(spark, texts), RANKS, P.PATTERN), RANKS, P.PATTERN)
+    out = bpe.decode(bpe.encode(documents(spark, texts), RANKS, P.PATTERN), RANKS, P.PATTERN).cache()
+    assert sorted(bpe.round_trip(documents(spark, texts), RANKS, P.PATTERN).collect()) == sorted(out.collect())
     digests = {r["doc_id"]: r for r in bpe.digests(out).collect()}
     for r in out.collect():
         text = texts[r["doc_id"]] or ""
@@ -149,4 +150,7 @@ def test_packing(spark):
     whole = packing.sequences(packed).collect()
     assert sum(len(r["ids"]) for r in whole) == total
     assert packing.pack(pieces.limit(0)).count() == 0
+    odd = spark.createDataFrame([(None, "a b"), (4, "c"), (4, "c")], "doc_id long, text string")
+    rows = packing.pack(packing.tokenize_pieces(odd, WORD, end_id=2)).collect()
+    assert sorted((r["doc_id"] or 0, r["length"]) for r in rows) == [(0, 3), (4, 2), (4, 2)]
     assert packed.select(F.min("offset")).first()[0] == 0
