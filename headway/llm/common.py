@@ -31,6 +31,14 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a staged table from which everything needed has been staged anew."""
+    spark = df.sparkSession
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Let Spark cut Arrow batches by bytes as well as by rows, so long texts can't pile up."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))

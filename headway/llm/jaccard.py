@@ -3,9 +3,10 @@
 The elements of a document are its word shingles.  Documents with equal sets are one class; only
 classes are joined.
 
-1. Extended prefix.  With p(n) = n - ceil(t n) + 1, two sets of Jaccard similarity t or more share
-   at least k = min(p(x), p(y)) of their 2 p(n) - 1 least elements in any global order.  The order
-   is that of the hashes, so no corpus-wide ordering has to be known beforehand.
+1. Extended prefix.  With p(n) = n - ceil(t n) + 1 and k(n) about half of it, two sets of Jaccard
+   similarity t or more share at least min(k(x), k(y)) of their p(n) + k(n) - 1 least elements in
+   any global order.  The order is that of the hashes, so no corpus-wide ordering has to be known
+   beforehand.
 2. Rare first.  The frequencies of the prefix elements are counted exactly.  Within the extended
    prefixes, ordered by frequency, at least k elements being shared again means that the first
    few - elements that no other class has come first, and need no index - share one or two.
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.llm.common import bounded_batches, id_text, staged, struct_type
+from headway.llm.common import bounded_batches, discard, id_text, staged, struct_type
 from headway.llm.components import components
 from headway.llm.shingles import mix, set_id, shingle_sets
 
@@ -72,8 +73,13 @@ def prefix_size(n: int, percent: int) -> int:
     return n - least_partner(n, percent) + 1
 
 
+def shared_size(n: int, percent: int) -> int:
+    """k(n)."""
+    return (prefix_size(n, percent) + 1) // 2
+
+
 def extended_size(n: int, percent: int) -> int:
-    return min(n, 2 * prefix_size(n, percent) - 1) if n else 0
+    return min(n, prefix_size(n, percent) + shared_size(n, percent) - 1) if n else 0
 
 
 def signature(hashes: np.ndarray, bits: int) -> bytes:
@@ -108,7 +114,7 @@ def document_sets(docs: DataFrame, words: int, percent: int, tuning: Tuning = TU
 
 def pair_sizes(percent: int, factor: int) -> range:
     """Sizes of the smaller of two sets for which frequent elements are indexed by pairs."""
-    able = (n for n in range(1, 10_000) if prefix_size(n, percent) > 1)  # below, one shared element is all to rely on
+    able = (n for n in range(1, 10_000) if shared_size(n, percent) > 1)  # below, one shared element is all to rely on
     first = next(able)
     # f elements have f (f - 1) / 2 pairs
     fits = (n for n in range(first, 10_000) if prefix_size(n, percent) > 2 * factor)
@@ -122,7 +128,7 @@ def index_keys(n: int, hashes: np.ndarray, frequency: np.ndarray, percent: int,
     size = extended_size(n, percent)
     alone = size - len(hashes)
     least = least_partner(n, percent)
-    shared = prefix_size(least, percent)
+    shared = shared_size(least, percent)
     paired = pair_sizes(percent, tuning.pair_factor)
     by_pairs = n >= paired.start and least < paired.stop
     singly = least < paired.start or n >= paired.stop
@@ -141,9 +147,8 @@ def index_keys(n: int, hashes: np.ndarray, frequency: np.ndarray, percent: int,
     return np.concatenate(keys)
 
 
-def index(sets: DataFrame, percent: int, tuning: Tuning = TUNING) -> DataFrame:
-    """Index entries with two members or more: key, block pair (i, j), own block, node, n, bits."""
-    classes = staged(sets.where("n > 0").groupBy("node").agg(F.min(F.struct("n", "prefix", "bits")).alias("s")).select("node", "s.*"))
+def index(classes: DataFrame, percent: int, tuning: Tuning = TUNING) -> DataFrame:
+    """Index entries of classes (node, n, prefix, bits) with two members or more: key, block pair (i, j), own block, node, n, bits."""
     elements = classes.select("node", F.explode("prefix").alias("element"))
     frequency = staged(elements.groupBy("element").agg(F.count(F.lit(1)).alias("frequency")).where("frequency > 1"))
     common = elements.join(frequency, "element").groupBy("node").agg(F.collect_list(F.struct("element", "frequency")).alias("common"))
@@ -307,9 +312,12 @@ def remaining_links(docs: DataFrame, ids: DataFrame, entries: DataFrame, edges:
 
 def similar_components(docs: DataFrame, words: int, percent: int, tuning: Tuning = TUNING) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row of ``docs``."""
-    sets = staged(document_sets(docs, words, percent, tuning))
+    whole = staged(document_sets(docs, words, percent, tuning))
+    sets = staged(whole.select("doc_id", "node", "n"))
+    classes = staged(whole.where("n > 0").groupBy("node").agg(F.min(F.struct("n", "prefix", "bits")).alias("s")).select("node", "s.*"))
+    discard(whole)  # sets and classes hold what is needed of it
     ids = staged(sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
-    entries = staged(index(sets, percent, tuning))
+    entries = staged(index(classes, percent, tuning))
     edges = staged(entry_pairs(entries, percent, labelled=False, tuning=tuning))
     checked = verified(edges, docs, ids, words, percent)
     links = checked.where("linked").select("a", "b")
@@ -317,7 +325,7 @@ def similar_components(docs: DataFrame, words: int, percent: int, tuning: Tuning
     late = remaining_links(docs, ids, entries, edges, checked, labels, words, percent, tuning)
     if not late.isEmpty():
         labels = staged(components(links.union(late)))
-    classes = ids.join(labels, "node", "left").select("node", "doc_id", F.coalesce("component_id", "node").alias("component"))
-    least = classes.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    by_node = staged(classes.join(least, "component").select("node", "component_id"))
+    members = ids.join(labels, "node", "left").select("node", "doc_id", F.coalesce("component_id", "node").alias("component"))
+    least = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    by_node = staged(members.join(least, "component").select("node", "component_id"))
     return sets.join(by_node, "node", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
