@@ -52,6 +52,18 @@ def test_fingerprint_is_sensitive_to_order(spark):
     assert row["near"] > 0.8 > 0.7 > row["moved"]
 
 
+@pytest.mark.parametrize("n", [16, 32, 64, 128])
+def test_fingerprint_of_short_texts_is_sensitive_to_order(spark, n):
+    """Halves swapped: most pairs of k-mers keep their members, but half of them change their order."""
+    whole = [[f"t{t}w{i}" for i in range(n)] for t in range(12)]
+    frame = spark.createDataFrame([(" ".join(w), " ".join(w[n // 2 :] + w[: n // 2]), " ".join([*w[:-1], "z"])) for w in whole], "a string, b string, c string")
+    for name in "abc":
+        frame = fingerprints.with_fingerprint(frame, name, f"f{name}")
+    rows = frame.select(fingerprints.likeness("fa", "fb").alias("swapped"), fingerprints.likeness("fa", "fc").alias("near")).collect()
+    swapped, near = (sum(r[c] for r in rows) / len(rows) for c in ("swapped", "near"))
+    assert swapped < 0.6 and near > swapped + 0.1
+
+
 def test_fingerprint_odd_tables(spark):
     rows = fingerprint_rows(spark, ["a b c d e f g h", "a b c d e f g h", None, "q"], [1, 1, None, 5])
     assert len(rows) == 4 and rows[0].asDict().keys() >= {"near_next", "near_edited"}
