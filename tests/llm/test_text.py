@@ -142,6 +142,22 @@ def test_model_learns(scored):
     assert (scored["score"] < 0).all() and subwords > -6  # an untrained model is below -15
 
 
+def test_training_covers_whole_texts(spark, monkeypatch):
+    monkeypatch.setattr(lm, "GROUP_IDS", 500)
+    end, path = 49407, P.path("word_bpe_49k.json")
+    encoder = lm.tok.CachedEncoder(lm.tok.model_text(path), keep_space=False)
+    texts = ["", "one", *(" ".join(f"Word{i * j % 97}" for i in range(n)) for j, n in enumerate((47, 48, 49, 400, 3000), 1))]
+    model = lm.Model(attention.initial(lm.CLASSES), np.arange(end + 1) % lm.CLASSES, np.zeros((1, 1)), np.zeros(1))
+    got = np.concatenate([t[t >= 0] for _, t in lm.training_groups(model, encoder, texts, end)])
+    want = [i for t in texts for i in [*encoder.tok.encode(t, add_special_tokens=False).ids, end]]
+    assert got.tolist() == model.classes[want].tolist()
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    shared = spark.sparkContext.broadcast(lm.tok.model_text(path))
+    cut = spark.createDataFrame([(" ".join(t.split()[:48]),) for t in texts], "text string").coalesce(1)
+    whole, part = (lm.averaged(model, f, shared, end) for f in (frame, cut))
+    assert not np.allclose(whole["out"], part["out"])
+
+
 def test_lm_odd_rows(spark):
     texts = [(1, "a b c"), (1, "a b c"), (None, "a b"), (3, None), (4, ""), (5, "word " * 20000), (6, "x" * 100_000)]
     frame = spark.createDataFrame([(i, t, 1, "r", "w") for i, t in texts], "doc_id long, text string, n int, row string, rest string")
