@@ -9,8 +9,8 @@ they are reported only if complementary parts co-occur within a scope of ``SCOPE
 * parts of base kinds count as complements; a weak part that overlaps a span of a kind listed
   before its own is dropped.
 
-The co-occurrence is an interval join: texts are laid out in cells of one scope, a complement is
-entered in the cells that it can reach, and a semi-join on (text, cell) tests the distance.  A
+The co-occurrence is an interval join: texts are laid out in cells of one scope, a part is
+entered in all cells that it touches, a complement in those that it can reach, and a semi-join on (text, cell) tests the distance.  A
 text's parts so spread over its cells, and no pair of parts is ever a row of the result.
 
 All of it is DataFrame functions: positions come from the lengths of the matches and of what
@@ -140,14 +140,12 @@ def link_parts(found: DataFrame) -> DataFrame:
         """Rows of ``left`` with (or without) an interval of ``right`` at most ``reach`` away."""
         other = right.select("row_key", F.col("start").alias("o_start"), F.col("end").alias("o_end"), F.col("rank").alias("o_rank"))
         spread = other.withColumn("cell", _cells(F.col("o_start") - reach, F.col("o_end") + reach))
-        at = left.withColumn("cell", F.floor(F.col("start") / SCOPE).cast("bigint"))
-        if not reach:  # overlap: each side counts in all its cells
-            at = left.withColumn("cell", _cells(F.col("start"), F.col("end")))
+        at = left.withColumn("cell", _cells(F.col("start"), F.col("end")))  # all its cells, however long it is
         close = [at["row_key"] == spread["row_key"], at["cell"] == spread["cell"], spread["o_start"] < at["end"] + reach, at["start"] < spread["o_end"] + reach]
         if how == "overlap":
             hit = at.join(spread, [*close, spread["o_rank"] < at["rank"]], "left_semi").drop("cell").distinct()
             return left.join(hit, ["row_key", "start", "rank", "end", "kind"], "left_anti")
-        return at.join(spread, close, "left_semi").drop("cell")
+        return at.join(spread, close, "left_semi").drop("cell").distinct()
 
     free = near(weak, base.unionByName(weak), 0, "overlap")
     usable = base.unionByName(free)

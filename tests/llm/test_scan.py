@@ -67,6 +67,20 @@ def test_weak_parts_need_complements(spark):
     assert got[8] == set()
 
 
+@pytest.mark.parametrize("length", [300, 513, 700, 2000])
+def test_long_weak_parts_meet_complements_on_either_side(spark, length):
+    key, url = "Zz9" + "aB3/" * (length // 4), "https://db.example.org/" + "x" * length
+    texts = [f"{lead}{part} {gap} login: alice password=hunter7" for lead in ("", "w " * 100) for part in (key, url) for gap in ("", "g " * 60)]
+    texts += [f"login: alice password=hunter7 {'g ' * 60} {part}" for part in (key, url)]
+    texts += [f"{part} {'far ' * 100} login: alice password=hunter7" for part in (key, url)]
+    got = spans(spark, texts)
+    for i, text in enumerate(texts):
+        kinds = got[i]["spans"]
+        assert (("opaque:" in kinds) or ("endpoint:" in kinds)) == ("far" not in text), text[:40]
+        listed = kinds.split(",")
+        assert len(listed) == len(set(listed))
+
+
 def test_running_sums_over_blocks(spark):
     n = 1000
     df = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda x: x.cast("bigint")).alias("v"))
