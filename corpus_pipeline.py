@@ -44,7 +44,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their ids and their places in 4,096-token sequences."""
-    pieces = packing.tokenize_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    pieces = packing.tokenize_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, added_tokens=True)
     return packing.pack(pieces.drop("ids"))
 
 

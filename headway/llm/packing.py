@@ -35,18 +35,20 @@ GROUP_PIECES = 16_384
 PIECES = struct_type(doc_id=T.LongType(), start=T.LongType(), length=T.LongType(), ids=T.ArrayType(T.IntegerType()), ids_crc32=T.LongType(), doc_tokens=T.LongType())
 
 
-def tokenize_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW) -> DataFrame:
+def tokenize_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW, added_tokens: bool = False) -> DataFrame:
     """Encode every whole text and cut it into pieces of at most ``window`` ids.
 
     Columns: doc_id, start (ids of the document before the piece), length, ids, ids_crc32 (their
     checksum as little-endian unsigned 32-bit integers), doc_tokens (all ids of the document).
+    ``added_tokens``: whether the string of an added token in a text stands for that token, as in the
+    library's tokenizer as loaded.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     model = spark.sparkContext.broadcast(tok.model_text(tokenizer_path))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tok.encoder(model.value, keep_space=False)
+        encoder = tok.encoder(model.value, keep_space=False, added_tokens=added_tokens)
         for batch in batches:
             ids, offsets = tok.append_id(*encoder.encode(batch.column("text").to_pylist()), end_id)
             n = np.diff(offsets)

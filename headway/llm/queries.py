@@ -27,7 +27,7 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return token_files.token_table(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return token_files.token_table(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, added_tokens=True)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +65,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    pieces = packing.tokenize_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    pieces = packing.tokenize_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, added_tokens=True)
     return packing.pack(pieces.drop("ids"))
 
 

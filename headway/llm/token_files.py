@@ -35,14 +35,14 @@ RECORDS = struct_type(doc_id=T.LongType(), n_tokens=T.LongType(), ids=T.ArrayTyp
 SUMS = struct_type(doc_id=T.LongType(), n_tokens=T.LongType(), ids_crc32=T.LongType(), file=T.StringType())
 
 
-def encode(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
+def encode(docs: DataFrame, tokenizer_path: str, end_id: int, added_tokens: bool = False) -> DataFrame:
     """doc_id, n_tokens and ids of every whole text, the end id appended; keeps the partitioning."""
     spark = docs.sparkSession
     bounded_batches(spark)
     model = spark.sparkContext.broadcast(tok.model_text(tokenizer_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tok.encoder(model.value, keep_space=True)
+        encoder = tok.encoder(model.value, keep_space=True, added_tokens=added_tokens)
         for batch in batches:
             ids, offsets = tok.append_id(*encoder.encode(batch.column("text").to_pylist()), end_id)
             lists = pa.ListArray.from_arrays(offsets.astype(np.int32), ids)
@@ -51,16 +51,17 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     return id_text(docs).mapInArrow(run, RECORDS)
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, encoding: str = "dictionary") -> None:
+def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, encoding: str = "dictionary", added_tokens: bool = False) -> None:
     """Encode and write; over all files, ids stand in ascending doc_id order.
 
-    ``encoding``: "dictionary", or "delta" (delta binary packed, smaller for near-sorted ids).
+    ``added_tokens``: whether the string of an added token in a text stands for that token, as in the
+    library's tokenizer as loaded.  ``encoding``: "dictionary", or "delta" (delta binary packed, smaller for near-sorted ids).
     """
     if encoding not in ("dictionary", "delta"):
         raise ValueError(f"unknown encoding {encoding!r}")
     ordered = id_text(docs).repartitionByRange("doc_id")
     (
-        encode(ordered, tokenizer_path, end_id)
+        encode(ordered, tokenizer_path, end_id, added_tokens)
         .sortWithinPartitions("doc_id")
         .write.option("parquet.writer.version", "PARQUET_2_0")
         .option("parquet.enable.dictionary", str(encoding == "dictionary").lower())
@@ -111,9 +112,9 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def token_table(docs: DataFrame, tokenizer_path: str, end_id: int, path: str | None = None) -> DataFrame:
+def token_table(docs: DataFrame, tokenizer_path: str, end_id: int, path: str | None = None, added_tokens: bool = False) -> DataFrame:
     """Write the token files (by default into the shared checkpoint folder) and sum them up from disk."""
     spark = docs.sparkSession
     path = path or f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
-    write_token_files(docs, path, tokenizer_path, end_id)
+    write_token_files(docs, path, tokenizer_path, end_id, added_tokens=added_tokens)
     return checksums(spark, path)

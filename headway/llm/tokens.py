@@ -6,10 +6,15 @@ Chunks recur (words do), so each process keeps a bounded table chunk -> ids and
 for new chunks only, many of them joined by a separator whose id nothing else yields.  The one
 case in which such a cut would be wrong is other white space next to a space or line feed, as that
 run belongs together; such a text is handed to the library in one piece.
+
+Where ``added_tokens`` is set, the string of an added token in a text stands for that token, as in
+a tokenizer that is used as loaded; a text that holds one is handed over in one piece as well.
+Otherwise such a string is ordinary text.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from itertools import islice
@@ -41,7 +46,7 @@ _NUMERAL = "\u00b2"
 _PLAIN_SPACED = re.compile(r" ?\S(?:[^\n]*\S)?")
 _PLAIN = re.compile(rf"[^\s{_NUMERAL}](?:[^\n{_NUMERAL}]*[^\s{_NUMERAL}])?")
 
-_ENCODERS: dict[tuple[int, bool], CachedEncoder] = {}
+_ENCODERS: dict[tuple[int, bool, bool], CachedEncoder] = {}
 
 
 #: Chunks that every pattern leaves in one piece: Latin letters, in lower case where case is dropped.
@@ -85,6 +90,8 @@ class ChunkTable:
     """
 
     max_chunks = MAX_CHUNKS
+    #: Finds strings whose texts may not be cut.
+    apart: re.Pattern[str] | None = None
 
     def __init__(self, keep_space: bool, lower: bool, dtype: type):
         self.simple, self.chunk = (_SIMPLE_WITH_SPACE, _WITH_SPACE) if keep_space else (_SIMPLE_WITHOUT_SPACE, _WITHOUT_SPACE)
@@ -95,6 +102,10 @@ class ChunkTable:
         """The ids of each chunk, which may be any text."""
         raise NotImplementedError
 
+    def whole(self, text: str) -> list[int]:
+        """The ids of a text that may not be cut."""
+        return next(iter(self.ids_of([text])))
+
     def _clear(self) -> None:
         self.table = Numbers()
         self.pool = np.empty(1 << 16, self.dtype)
@@ -148,11 +159,11 @@ class ChunkTable:
                 chars += len(texts[end])
                 end += 1
             part = texts[at:end]
-            whole = [bool(_OTHER_SPACE.search(t)) and bool(_UNSAFE.search(t)) for t in part]
+            whole = [bool(_OTHER_SPACE.search(t)) and bool(_UNSAFE.search(t)) or self.apart is not None and bool(self.apart.search(t)) for t in part]
             got, n = self._cut([t for t, w in zip(part, whole) if not w])
             if any(whole):
                 cut = iter(np.split(got, np.cumsum(n)[:-1]))
-                each = [np.array(next(iter(self.ids_of([t]))), self.dtype) if w else next(cut) for t, w in zip(part, whole)]
+                each = [np.array(self.whole(t), self.dtype) if w else next(cut) for t, w in zip(part, whole)]
                 got, n = np.concatenate(each), np.array([len(e) for e in each], np.int64)
             ids.append(got)
             lens.append(n)
@@ -163,13 +174,20 @@ class ChunkTable:
 
 
 class CachedEncoder(ChunkTable):
-    """Ids as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
+    """Ids as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them.
 
-    def __init__(self, model_json: str, keep_space: bool):
+    With ``added_tokens`` those of the tokenizer as loaded, else with ``encode_special_tokens`` set.
+    """
+
+    def __init__(self, model_json: str, keep_space: bool, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(model_json)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tok.encode_special_tokens = True  # their strings are ordinary text, also where lower case makes one
+        if added := json.loads(model_json).get("added_tokens", []) if added_tokens else []:
+            anyhow = re.IGNORECASE if any(a["normalized"] for a in added) else 0
+            self.apart = re.compile("|".join(re.escape(a["content"]) for a in added), anyhow)
+            self.loaded = Tokenizer.from_str(model_json)
         upper, lower = self.tok.encode_batch(["AZ", "az"], add_special_tokens=False)
         # where the model tells no cases apart, neither does the table
         super().__init__(keep_space, upper.ids == lower.ids, np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.int32)
@@ -178,6 +196,11 @@ class CachedEncoder(ChunkTable):
         self.word = (_WORD if keep_space else _LOWER_WORD).fullmatch
         self.plain = (_PLAIN_SPACED if keep_space else _PLAIN).fullmatch
 
+    def whole(self, text: str) -> list[int]:
+        if self.apart and self.apart.search(text):
+            return self.loaded.encode(text, add_special_tokens=False).ids
+        return super().whole(text)
+
     def ids_of(self, chunks: list[str]) -> Iterator[list[int]]:
         word = self.tok.model.tokenize
         others = iter(self._library_ids([c for c in chunks if not self.word(c)]))
@@ -200,12 +223,12 @@ class CachedEncoder(ChunkTable):
         return [found[c] if c in found else self.tok.encode(c, add_special_tokens=False).ids for c in chunks]
 
 
-def encoder(model_json: str, keep_space: bool) -> CachedEncoder:
+def encoder(model_json: str, keep_space: bool, added_tokens: bool = False) -> CachedEncoder:
     """The process's encoder for this model; Spark's reused workers keep its table between tasks."""
-    key = (hash(model_json), keep_space)
+    key = (hash(model_json), keep_space, added_tokens)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = CachedEncoder(model_json, keep_space)
+        _ENCODERS[key] = CachedEncoder(model_json, keep_space, added_tokens)
     return _ENCODERS[key]
 
 

@@ -12,7 +12,8 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from headway.llm import bpe, packing, token_files, tokens
+import corpus_pipeline
+from headway.llm import bpe, packing, queries, token_files, tokens
 
 BYTE, WORD, RANKS = (P.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json", "byte_bpe_50k.tiktoken"))
 
@@ -46,6 +47,31 @@ def test_cached_encoder_equals_library(path, keep_space, monkeypatch):
         assert ids[offsets[i] : offsets[i + 1]].tolist() == encoder.tok.encode(text, add_special_tokens=False).ids, text
 
 
+ADDED = ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b", "<|endoftext|><|endoftext|>", "<|startoftext|> x", "<|EndOfText|> y", " <|endoftext|>\n\nfar  <|endoftext|> ", "x\t <|endoftext|> z"]
+
+
+@pytest.mark.parametrize("path,keep_space", [(BYTE, True), (WORD, False)])
+def test_added_tokens_equal_untouched_library(path, keep_space):
+    library = Tokenizer.from_file(path)
+    encoder = tokens.CachedEncoder(tokens.model_text(path), keep_space, added_tokens=True)
+    texts = [*odd_texts(), *ADDED]
+    ids, offsets = encoder.encode(texts)
+    for i, text in enumerate(texts):
+        assert ids[offsets[i] : offsets[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_queries_encode_as_untouched_library(spark, tmp_dir):
+    texts = [*ADDED, "plain"]
+    folder = f"{tmp_dir}/added"
+    documents(spark, texts).write.parquet(f"{folder}/documents.parquet")
+    byte, word = ([Tokenizer.from_file(p).encode(t, add_special_tokens=False).ids for t in texts] for p in (BYTE, WORD))
+    files = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in queries.op2_token_files(spark, folder).collect()}
+    assert files == {i: (len(w) + 1, zlib.crc32(np.array([*w, 0], "<u4").tobytes())) for i, w in enumerate(byte)}
+    for rows in (queries.op10_packing(spark, folder), corpus_pipeline.packed(spark, documents(spark, texts), folder)):
+        got = {r["doc_id"]: (r["doc_tokens"], r["ids_crc32"]) for r in rows.collect()}
+        assert got == {i: (len(w) + 1, zlib.crc32(np.array([*w, 2], "<u4").tobytes())) for i, w in enumerate(word)}
+
+
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])
 def test_token_files_round_trip(spark, tmp_dir, encoding):
     library = Tokenizer.from_file(BYTE)
