@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, chat, embeddings, fingerprints, jaccard, language, lm, packing, secrets, token_files
+from headway.llm import bpe, chat, embeddings, fingerprints, jaccard, language, lm, merkle, packing, secrets, token_counts, token_files, vector_codes
+from headway.llm import sql as digest_sql
 from headway.llm.common import crc_fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +70,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.drop("ids"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return merkle.manifest(docs, crc_fold("doc_id") == 0, {"text": F.translate("text", upper, upper.lower())})
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, codebooks = vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+    out = vector_codes.with_label_error(codes)
+    return out.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.codebooks_digest(codebooks)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_token_files": op2_token_files,
@@ -80,6 +98,9 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_packing": op10_packing,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_token_counts": op12_token_counts,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 #: Whole conversations as lists of turns; one goes if its list begins a longer one's.  Independent of
@@ -112,4 +133,8 @@ FROM shown
 
 #: Every document's tokens and distinct shingles are out of reach for op3's exact join in SQL at
 #: scale, and classifiers and library tokenizers can't be stated in it: those queries have none.
-ORACLE: dict[str, str] = {"op6_chat_formatting": OP6_SQL}
+ORACLE: dict[str, str] = {
+    "op6_chat_formatting": OP6_SQL,
+    "op11_merkle_manifest": digest_sql.merkle_manifest(),
+    "op13_vector_codes": digest_sql.vector_codes(),
+}
