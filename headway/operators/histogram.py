@@ -1,9 +1,9 @@
 """Delay KPIs of groups from one integer histogram per group.
 
-Rows are counted per (group, delay minute) with an ordinary partial aggregate, so a group of any
-size is a few hundred rows before anything is ordered.  Count, mean, exact interpolated quantiles
-and rates all come from that one table.  Distinct trips are a two-step count beside it: one row per
-(group, trip) after the map side, then one per group.  Neither step keeps a buffer per trip.
+Rows are counted per (group, trip, delay minute) with an ordinary partial aggregate; a trip then has
+as many entries in a group as it has delay minutes there, and the first of them counts the trip.
+Summed by (group, delay minute), that one table gives count, mean, exact interpolated quantiles,
+rates and distinct trips.  The rows are read once; where they lie by trip, only the sums move.
 """
 
 from __future__ import annotations
@@ -25,12 +25,18 @@ def _quantile(share: float) -> Column:
     return low + (high - low) * F.max(position - F.floor(position))
 
 
-def delay_kpis(rows: DataFrame, keys: list[str], weight: Column | None = None) -> DataFrame:
-    """Per group: stop_event_count, trip_count, mean, median, p95, on-time rate and delay probability.
+def minute_counts(rows: DataFrame, keys: list[str], weight: Column | None = None) -> DataFrame:
+    """Per group and delay minute: _n rows (by weight) and _trips, which add up to the group's distinct trips."""
+    per_trip = rows.groupBy(*keys, "trip_id", VALUE).agg(F.sum(weight if weight is not None else F.lit(1)).alias("_n"))
+    # a list holds the delay minutes of one trip in one group, so a trip of any number of rows stays small
+    listed = per_trip.groupBy(*keys, "trip_id").agg(F.collect_list(F.struct(VALUE, "_n")).alias("_of_trip"))
+    entries = listed.select(*keys, "trip_id", F.posexplode("_of_trip").alias("_at", "_entry"))
+    first = F.when((F.col("_at") == 0) & F.col("trip_id").isNotNull(), 1).otherwise(0)
+    return entries.groupBy(*keys, F.col(f"_entry.{VALUE}").alias(VALUE)).agg(F.sum("_entry._n").alias("_n"), F.sum(first).alias("_trips"))
 
-    ``weight`` (default 1) is how many times a row counts; trips count once whatever the weight.
-    """
-    counted = rows.groupBy(*keys, VALUE).agg(F.sum(weight if weight is not None else F.lit(1)).alias("_n"))
+
+def kpis_of_counts(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """KPIs of groups from rows (keys, delay minute, _n), and trip_count where there is _trips."""
     known = F.when(F.col(VALUE).isNotNull(), F.col("_n"))
     group = Window.partitionBy(*keys)
     ordered = group.orderBy(F.asc_nulls_last(VALUE)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -38,16 +44,21 @@ def delay_kpis(rows: DataFrame, keys: list[str], weight: Column | None = None) -
     placed = placed.withColumn("_total", F.sum(known).over(group))
     n, value = F.sum("_n"), F.col(VALUE)
     share = lambda test: pct(F.sum(F.when(test, F.col("_n")).otherwise(0)), n)
-    kpis = placed.groupBy(*keys).agg(
+    trips = [F.sum("_trips").alias("trip_count")] if "_trips" in counted.columns else []
+    return placed.groupBy(*keys).agg(
         n.alias("stop_event_count"),
         round_half(F.sum(value * known) / F.sum(known), 2).alias("avg_delay_minutes"),
         round_half(_quantile(0.5), 2).alias("median_delay_minutes"),
         round_half(_quantile(0.95), 2).alias("p95_delay_minutes"),
         share(on_time(value)).alias("on_time_rate"),
         share(delayed(value)).alias("delay_probability_pct"),
+        *trips,
     )
-    trips = rows.groupBy(*keys, "trip_id").agg(F.lit(1).alias("_one")).groupBy(*keys).agg(F.count("trip_id").alias("trip_count"))
-    # keys may be null, so the two small results meet in a grouping instead of a join
-    names = [c for c in kpis.columns if c not in keys]
-    both = kpis.withColumn("trip_count", F.lit(None).cast("bigint")).unionByName(trips, allowMissingColumns=True)
-    return both.groupBy(*keys).agg(*(F.max(c).alias(c) for c in [*names, "trip_count"]))
+
+
+def delay_kpis(rows: DataFrame, keys: list[str], weight: Column | None = None) -> DataFrame:
+    """Per group: stop_event_count, trip_count, mean, median, p95, on-time rate and delay probability.
+
+    ``weight`` (default 1) is how many times a row counts; trips count once whatever the weight.
+    """
+    return kpis_of_counts(minute_counts(rows, keys, weight), keys)

@@ -42,7 +42,11 @@ def stop_performance(delay: DataFrame, route_perf: DataFrame) -> DataFrame:
     aggregated first and the per-route coverage joins the small result
     (never shuffle the delay layer on a handful of route keys).
     """
-    grouped = delay_kpis(delay, ["static_stop_id", "stop_name", "route_id"])
+    return with_route_coverage(delay_kpis(delay, ["static_stop_id", "stop_name", "route_id"]), route_perf)
+
+
+def with_route_coverage(grouped: DataFrame, route_perf: DataFrame) -> DataFrame:
+    """The stop mart from the KPIs of its groups and the route mart."""
     cov = route_perf.select(
         F.col("route_id").alias("_rc_route"), "coverage_rows", "coverage_trips", "pct_rt_rows_matched"
     )

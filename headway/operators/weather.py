@@ -28,9 +28,9 @@ def weather_by_hour(weather: DataFrame) -> DataFrame:
 def enrich_weather(delay: DataFrame, weather: DataFrame, dedupe_hours: bool = False) -> DataFrame:
     """Left join delay rows to hourly weather on the local arrival hour.
 
-    Weather has one row per observed hour (bounded by the time span), so it
-    is broadcast after a size check and the delay layer is never shuffled on
-    the hour key.  Duplicate weather hours fan out rows, as published, unless
+    Weather has one row per observed hour, a table that grows with the time
+    span only; Spark broadcasts it where it is small enough by its own size
+    estimate and else joins by the hour.  Duplicate weather hours fan out rows, as published, unless
     ``dedupe_hours`` keeps one row per hour.
     """
     w = weather_by_hour(weather)

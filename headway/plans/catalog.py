@@ -8,6 +8,7 @@ a top-k is the feature itself.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -749,7 +750,7 @@ def _stream_poll_append(t):
     return spark.read.parquet(f"{base}/polls")
 
 
-def _refreshed(t: TransitTables, label: str, marts: bool) -> str:
+def _refreshed(t: TransitTables, label: str) -> str:
     """Stream both polls of every trip through the refresh; returns the folder of its outputs."""
     from headway.streaming.polls import scratch_folder, start_delay_refresh
 
@@ -759,7 +760,7 @@ def _refreshed(t: TransitTables, label: str, marts: bool) -> str:
         _write_polls(t, f"{base}/feed", part)
         start_delay_refresh(
             spark, f"{base}/feed", f"{base}/polls", f"{base}/delay", f"{base}/ckpt",
-            t.stop_times, t.trips, t.stops, buckets=default_buckets(spark), marts_dir=f"{base}/marts" if marts else None,
+            t.stop_times, t.trips, t.stops, buckets=default_buckets(spark),
         ).awaitTermination()
     return base
 
@@ -769,14 +770,65 @@ def _stream_delay_refresh(t):
     """Streamed polls refresh the delay layer of touched trips; equals the batch layer."""
     from headway.operators.delay import DELAY_COLUMNS
 
-    base = _refreshed(t, "delay-refresh", marts=False)
+    base = _refreshed(t, "delay-refresh")
     cols = list(DELAY_COLUMNS)
     cols.insert(4, "best_offset")
     return t.rt_updates.sparkSession.read.parquet(f"{base}/delay").select(*cols)
 
 
+def _mart_stream(t: TransitTables, label: str):
+    """Stream both polls of every trip, one after the other, through the incremental marts."""
+    from headway.streaming.marts import MartStream
+    from headway.streaming.polls import scratch_folder
+
+    spark = t.rt_updates.sparkSession
+    base = scratch_folder(spark, label)
+    buckets = default_buckets(spark)
+    stream = MartStream(spark, f"{base}/stream", t, trip_buckets=buckets, group_buckets=buckets)
+    for part in (0, 1):
+        _write_polls(t, f"{base}/feed", part)
+        stream.start(f"{base}/feed").awaitTermination()
+    return stream
+
+
+#: Key columns of each mart; all others are its figures.
+MART_KEYS = {
+    "route_performance": ["route_id"],
+    "stop_performance": ["static_stop_id", "stop_name", "route_id"],
+    "route_hour_performance": ["route_id", "hour_of_day"],
+    "weather_impact": ["precipitation_bucket", "is_raining"],
+    "route_weather_impact": ["route_id", "precipitation_bucket", "is_raining"],
+    "hour_day_reliability": ["route_id", "day_of_week_num", "day_of_week", "hour_of_day"],
+    "event_window_impact": ["event_type", "in_event_window"],
+    "disruption_association": ["alert_type", "in_alert_window"],
+    "risk_forecast_next_24h": ["forecast_hour_local_ts", "route_id", "risk_level"],
+}
+
+
 @query("stream_mart_refresh")
 def _stream_mart_refresh(t):
-    """The route mart after streamed polls have refreshed delay layer and marts; equals the batch mart."""
-    base = _refreshed(t, "mart-refresh", marts=True)
-    return t.rt_updates.sparkSession.read.parquet(f"{base}/marts/route_performance")
+    """All nine marts after two polls of every trip, kept by deltas, as rows (mart, key, figure, value); equal the batch marts."""
+    marts = _mart_stream(t, "mart-refresh").marts(FX.AS_OF)
+    parts = []
+    for name, keys in MART_KEYS.items():
+        key = F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys))
+        figures = [c for c in marts[name].columns if c not in keys]
+        each = F.explode(F.array(*(F.struct(F.lit(c).alias("figure"), F.col(c).cast("double").alias("value")) for c in figures)))
+        parts.append(marts[name].select(F.lit(name).alias("mart"), key.alias("mart_key"), each.alias("x")).select("mart", "mart_key", "x.figure", "x.value"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("event_window_pairs")
+def _event_window_pairs(t):
+    """Delay rows with every event window around them (C11)."""
+    windows = t.event_windows.select("event_id", "event_type", "window_start_local_ts", "window_end_local_ts")
+    rows = delay_layer(t).select("trip_id", "rt_seq", "actual_arrival_local_ts")
+    return WN.interval_join(rows, windows, "actual_arrival_local_ts").select("trip_id", "rt_seq", "event_id", "event_type")
+
+
+@query("alert_window_pairs")
+def _alert_window_pairs(t):
+    """Delay rows inside service-alert windows, with the alerts (C11, inner form)."""
+    windows = t.alert_windows.select("alert_id", "alert_type", "window_start_local_ts", "window_end_local_ts")
+    rows = delay_layer(t).select("trip_id", "rt_seq", "actual_arrival_local_ts")
+    return WN.interval_join(rows, windows, "actual_arrival_local_ts", how="inner").select("trip_id", "rt_seq", "alert_id", "alert_type")

@@ -26,6 +26,7 @@ from headway.operators.delay import delay_layer
 from headway.session import checkpoint_dir
 from headway.sources.realtime import RT_COLUMNS, flatten_trip_updates
 from headway.sources.tables import write_table
+from headway.streaming.versions import remove_folder, write_sliced
 
 DEFAULT_TRIP_BUCKETS = 256
 
@@ -64,14 +65,8 @@ def start_poll_append(
 
 
 def write_by_bucket(df: DataFrame, path: str, buckets: int) -> None:
-    """Store rows of a trip-keyed table by trip bucket."""
-    bucketed = df.withColumn("trip_bucket", trip_bucket(buckets=buckets))
-    bucketed.repartition("trip_bucket").write.mode("overwrite").partitionBy("trip_bucket").parquet(path)
-
-
-def _remove_folder(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    """Store rows of a trip-keyed table by trip bucket; a bucket of many rows is written by several tasks."""
+    write_sliced(df.withColumn("trip_bucket", trip_bucket(buckets=buckets)), path, "trip_bucket")
 
 
 def refresh_touched_trips(
@@ -103,7 +98,7 @@ def refresh_touched_trips(
     filled = {r["trip_bucket"] for r in fresh.select("trip_bucket").distinct().collect()}
     fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("trip_bucket").parquet(out_dir)
     for bucket in set(touched) - filled:
-        _remove_folder(spark, f"{out_dir.rstrip('/')}/trip_bucket={bucket}")
+        remove_folder(spark, f"{out_dir.rstrip('/')}/trip_bucket={bucket}")
 
 
 def refresh_marts(delay: DataFrame, rt_updates: DataFrame, trips: DataFrame, out_dir: str) -> None:

@@ -53,3 +53,15 @@ def test_hot_trips_are_spread_over_the_full_keys(spark):
     exchanged = [re.sub(r"#\d+L?", "", x) for x in re.findall(r"hashpartitioning\(([^)]*)\)", plan)]
     assert any(x.startswith("trip_id, static_seq") for x in exchanged)
     assert any(x.startswith("trip_id, seq_offset, ") for x in exchanged)
+
+
+def test_marts_read_rows_once_and_move_sums_only(spark):
+    """A mart over the layer that lies by trip: one scan, and exchanges of (group, minute) sums only."""
+    from headway.operators.histogram import delay_kpis
+    from headway.plans.catalog import delay_layer
+
+    layer = delay_layer(raw_transit(spark, SMOKE))
+    plan = delay_kpis(layer, ["route_id"])._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan|Scan parquet", plan)) == 1
+    exchanged = [re.sub(r"#\d+L?", "", x) for x in re.findall(r"hashpartitioning\(([^)]*)\)", plan)]
+    assert exchanged and all("trip_id" not in x for x in exchanged)
