@@ -22,8 +22,10 @@ classes are joined.
    their other pairs in a second pass, so that components are exact.
 
 Defined results: null and empty texts have an empty set and are linked with nothing; repeated
-rows get a row each; a row with a null id joins the component of its text; an empty table gives
-no rows; extra columns are ignored.
+rows get a row each; a row with a null id belongs to the component of its text and links others
+like any row, and a component without any id has component_id null; texts of any length give their
+whole sets; sets exactly at the threshold link, and of equal ids the smallest is the same; an empty
+table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -58,7 +60,7 @@ class Tuning:
 
 TUNING = Tuning()
 
-SETS = struct_type(doc_id=T.LongType(), node=T.LongType(), n=T.IntegerType(), prefix=T.ArrayType(T.LongType()), bits=T.BinaryType())
+SETS = struct_type(doc_id=T.LongType(), text_key=T.LongType(), node=T.LongType(), n=T.IntegerType(), prefix=T.ArrayType(T.LongType()), bits=T.BinaryType())
 KEYS = struct_type(node=T.LongType(), key=T.LongType())
 EDGES = struct_type(a=T.LongType(), b=T.LongType(), key=T.LongType(), i=T.IntegerType(), j=T.IntegerType())
 
@@ -89,7 +91,7 @@ def signature(hashes: np.ndarray, bits: int) -> bytes:
 
 
 def document_sets(docs: DataFrame, words: int, percent: int, tuning: Tuning = TUNING) -> DataFrame:
-    """doc_id, node (the id of its set), n (its size), extended prefix and signature."""
+    """doc_id, text_key (a hash of the text), node (the id of its set), n (its size), extended prefix and signature."""
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,6 +103,7 @@ def document_sets(docs: DataFrame, words: int, percent: int, tuning: Tuning = TU
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_key"),
                     pa.array([set_id(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.ListArray.from_arrays(offsets, flat),
@@ -109,7 +112,7 @@ def document_sets(docs: DataFrame, words: int, percent: int, tuning: Tuning = TU
                 names=SETS.names,
             )
 
-    return id_text(docs).mapInArrow(run, SETS)
+    return id_text(docs).withColumn("text_key", F.xxhash64("text")).mapInArrow(run, SETS)
 
 
 def pair_sizes(percent: int, factor: int) -> range:
@@ -272,16 +275,27 @@ def entry_pairs(entries: DataFrame, percent: int, labelled: bool, tuning: Tuning
     return spread.mapInArrow(run, EDGES)
 
 
+def class_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """The texts of the ``members``, one row of each class: by id and text, and by text where the id is null.
+
+    Copies without an id can't be told apart, so of their equal texts one is kept.
+    """
+    keyed = id_text(docs).withColumn("text_key", F.xxhash64("text"))
+    named = keyed.join(members.where(F.col("doc_id").isNotNull()), ["doc_id", "text_key"], "left_semi").select("text")
+    nameless = keyed.where(F.col("doc_id").isNull()).join(members.where(F.col("doc_id").isNull()), "text_key", "left_semi").select("text").distinct()
+    return named.unionByName(nameless)
+
+
 def verified(pairs: DataFrame, docs: DataFrame, ids: DataFrame, words: int, percent: int) -> DataFrame:
     """Distinct pairs (a, b) of classes with ``linked``: whether their whole sets are similar.
 
-    ``ids``: node and one doc_id of its class, whose text is shingled again.
+    ``ids``: node, and doc_id and text_key of one row of its class, whose text is shingled again.
     """
     pairs = staged(pairs.select("a", "b").distinct())
     if pairs.isEmpty():
         return pairs.withColumn("linked", F.lit(False))
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = id_text(docs).join(ids.join(wanted, "node", "left_semi").select("doc_id"), "doc_id", "left_semi")
+    texts = class_texts(docs, ids.join(wanted, "node", "left_semi").select("doc_id", "text_key"))
     schema = struct_type(node=T.LongType(), elements=T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,10 +327,11 @@ def remaining_links(docs: DataFrame, ids: DataFrame, entries: DataFrame, edges:
 def similar_components(docs: DataFrame, words: int, percent: int, tuning: Tuning = TUNING) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row of ``docs``."""
     whole = staged(document_sets(docs, words, percent, tuning))
-    sets = staged(whole.select("doc_id", "node", "n"))
+    sets = staged(whole.select("doc_id", "text_key", "node", "n"))
     classes = staged(whole.where("n > 0").groupBy("node").agg(F.min(F.struct("n", "prefix", "bits")).alias("s")).select("node", "s.*"))
     discard(whole)  # sets and classes hold what is needed of it
-    ids = staged(sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
+    ids = staged(sets.where("n > 0").groupBy("node").agg(F.min(row).alias("row")).select("node", "row.doc_id", "row.text_key"))
     entries = staged(index(classes, percent, tuning))
     edges = staged(entry_pairs(entries, percent, labelled=False, tuning=tuning))
     checked = verified(edges, docs, ids, words, percent)

@@ -5,15 +5,19 @@ characters counts as one blank, as marks, digits and layout tell nothing of the
 sublinear counts times inverse document frequency, scaled to length one.  Each language is stood for by a few
 centroids (spherical k-means over its sample), so that a language with several styles is not
 averaged into one.  The prediction is the language of the centroid with the greatest cosine, and
-the score is that cosine.  A text is rejected when its cosine lies far below what training texts
-of its length reach.
+the score is that cosine.  A text is rejected when its cosine lies far below the median that texts
+of its length reach which the centroids have not seen: each half of the sample is compared with
+centroids of the other half.
 
-The classifier is fitted on the driver on a bounded sample of labelled rows: ``SAMPLE_PER_LANG``
-per language, those with the least hash of their id.  Prediction reads every whole text.
+The classifier is fitted on the driver on a bounded sample of labelled rows: for each of the
+``MAX_LANGS`` most frequent languages ``SAMPLE_PER_LANG`` distinct rows, those with the least hash of
+id and text, of each the first ``SAMPLE_CHARS`` characters.  Prediction reads every whole text.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0 and rejected;
-rows with a null lang are never learned from; without any labelled row every text is ``und``;
-repeated rows are predicted each; extra columns are ignored.
+rows with a null lang are never learned from; without any labelled row every text is ``und``, and
+so is every row's language on such a table; texts of any length are read whole; equally near
+centroids give the first language in order; repeated rows and rows of equal or null id are
+predicted each and count once in the sample; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,11 +38,16 @@ DIMENSIONS = 1 << 14
 MAX_N = 3
 #: Labelled rows per language that the classifier is fitted on, and centroids per language.
 SAMPLE_PER_LANG = 400
+MAX_LANGS = 64
+SAMPLE_CHARS = 100_000
 CENTROIDS = 4
 #: Letters and blanks of the cut sample texts from which the rejection thresholds are taken.
 LENGTHS = (4, 8, 16, 32, 64, 128, 256, 512, 1024)
-#: A text is rejected below this share of the least cosine that the sample reaches at its length.
-REJECT_SHARE = 0.6
+#: A text is rejected below this share of the median cosine that unseen sample texts reach at its length
+#: (interpolated between the lengths above); texts shorter than the first are kept.
+REJECT_SHARE = 0.385
+#: Sample texts of a length that a median is taken from, at least.
+FILLED = 8
 
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -74,7 +83,7 @@ class Classifier:
     idf: np.ndarray
     centroids: np.ndarray
     owner: np.ndarray
-    least: np.ndarray
+    usual: np.ndarray
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         at, n = counts(text)
@@ -94,8 +103,8 @@ class Classifier:
         cos = self.cosines(text)
         best = int(cos.argmax())
         score = float(min(1.0, max(0.0, cos[best])))
-        bin_ = int(np.searchsorted(LENGTHS, len(text), side="right")) - 1
-        return self.langs[self.owner[best]], score, bool(score < REJECT_SHARE * self.least[max(0, bin_)]) and bin_ >= 0
+        usual = np.interp(np.log2(len(text)), np.log2(LENGTHS), self.usual) if len(text) >= LENGTHS[0] else 0.0
+        return self.langs[self.owner[best]], score, bool(score < REJECT_SHARE * usual)
 
 
 def _clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -113,14 +122,12 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
 
 
-def fit(rows: list[tuple[str, str]]) -> Classifier:
-    """Fit on (text, lang) rows; their number is bounded by the caller."""
-    rows = sorted((lang, letters(text)) for text, lang in rows if text and _LETTER.search(text))
+def _fitted(rows: list[tuple[str, str]]) -> Classifier:
+    """Centroids of (lang, letters) rows in order; nothing is rejected yet."""
     langs = sorted({lang for lang, _ in rows})
     frequency = np.zeros(DIMENSIONS)
-    found = [counts(text) for _, text in rows]
-    for at, _ in found:
-        frequency[at] += 1
+    for _, text in rows:
+        frequency[counts(text)[0]] += 1
     idf = np.log((1 + len(rows)) / (1 + frequency)) + 1
     model = Classifier(langs, idf, np.zeros((DIMENSIONS, 0)), np.zeros(0, int), np.zeros(len(LENGTHS)))
     centroids, owner = [], []
@@ -134,23 +141,46 @@ def fit(rows: list[tuple[str, str]]) -> Classifier:
         owner += [j] * len(c)
     if langs:
         model.centroids, model.owner = np.ascontiguousarray(np.concatenate(centroids).T), np.array(owner)
-        for b, n in enumerate(LENGTHS):
-            cut = [text[:n] for _, text in rows if len(text) >= n and _LETTER.search(text[:n])]
-            model.least[b] = min((model.cosines(t).max() for t in cut), default=0.0)
-        model.least = np.minimum.accumulate(model.least[::-1])[::-1]
     return model
 
 
-def training_sample(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> DataFrame:
-    """At most ``per_lang`` labelled rows of each language: text and lang.
+def usual_cosines(models: list[Classifier], unseen: list[list[tuple[str, str]]]) -> np.ndarray:
+    """Per length, the median of the greatest cosines of texts that a model has not seen, cut to that length.
+
+    A length that too few texts reach takes over the value of the longest one below it.
+    """
+    usual = np.zeros(len(LENGTHS))
+    for b, n in enumerate(LENGTHS):
+        reached = [
+            model.cosines(text[:n]).max() for model, rows in zip(models, unseen) if model.langs for _, text in rows if len(text) >= n and _LETTER.search(text[:n])
+        ]
+        usual[b] = np.median(reached) if len(reached) >= FILLED else usual[b - 1] if b else 0.0
+    return usual
+
+
+def fit(rows: list[tuple[str, str]]) -> Classifier:
+    """Fit on (text, lang) rows; their number is bounded by the caller."""
+    rows = sorted((lang, letters(text)) for text, lang in rows if text and _LETTER.search(text))
+    model = _fitted(rows)
+    halves = [rows[::2], rows[1::2]]  # each language is in both, but for its last row
+    model.usual = usual_cosines([_fitted(halves[1]), _fitted(halves[0])], halves)
+    return model
+
+
+def training_sample(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, max_langs: int = MAX_LANGS) -> DataFrame:
+    """At most ``per_lang`` distinct labelled rows of each of ``max_langs`` languages: text and lang.
 
-    The rank is cut before the shuffle as well (Spark's window group limit), so a language that
-    holds most rows doesn't collect in a task.
+    Rows are ranked by a hash of id and text.  Only hashes are sorted, and the rank is cut before the
+    shuffle as well (Spark's window group limit), so a language that holds most rows doesn't collect
+    in a task; of equal rows one is fetched.
     """
-    order = Window.partitionBy("lang").orderBy("rank_hash", "doc_id")
-    ranked = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", F.xxhash64("doc_id").alias("rank_hash"))
-    chosen = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_lang)
-    return docs.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"], "left_semi").select("text", "lang")
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("rank_hash", F.xxhash64("doc_id", "text"))
+    langs = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).select("lang")
+    order = Window.partitionBy("lang").orderBy("rank_hash")
+    ranked = labelled.select("lang", "rank_hash").distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_lang)
+    chosen = ranked.join(langs, "lang", "left_semi").select("lang", "rank_hash")  # bounded: per_lang * max_langs
+    fetched = labelled.join(F.broadcast(chosen), ["lang", "rank_hash"], "left_semi")
+    return fetched.groupBy("lang", "rank_hash").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text")).select("text", "lang")
 
 
 def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Classifier:

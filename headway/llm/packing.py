@@ -2,16 +2,18 @@
 
 Documents are encoded whole and end with an end id.  An overlong document is first cut into full
 windows; what remains of it, and every shorter document, is one piece.  Pieces are dealt at random
-(by a hash of document and start) into groups of bounded size, and each group is packed on its
-own: the longest piece first, each into the open window with the least room that still holds it.
+(by a hash of their row, so equal and missing ids are spread like any others) into groups of
+bounded size, and each group is packed on its own: the longest piece first, each into the open window with the least room that still holds it.
 A segment tree over the remaining room (a node tells whether any open window has a room in its
 range) finds that window in a number of steps that depends on the window size only.
 
 Groups have about ``GROUP_PIECES`` pieces whatever the size of the data, so no task and no hot
 source grows with the input, and only the few last windows of a group stay underfilled.
 
-Defined results: a null text is empty and yields one piece with the end id alone; repeated rows
-yield a piece each; extra columns are ignored; an empty table yields no piece.
+Defined results: a null text is empty and yields one piece with the end id alone; a very long text
+yields full windows and one rest; repeated rows and rows of equal or null id yield their pieces
+each, null ids stay null; pieces of equal length go in the order of id and start; extra columns are
+ignored; an empty table yields no piece.
 """
 
 from __future__ import annotations
@@ -35,17 +37,18 @@ GROUP_PIECES = 16_384
 PIECES = struct_type(doc_id=T.LongType(), start=T.LongType(), length=T.LongType(), ids=T.ArrayType(T.IntegerType()), ids_crc32=T.LongType(), doc_tokens=T.LongType())
 
 
-def tokenize_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW, added_tokens: bool = False) -> DataFrame:
+def tokenize_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW, added_tokens: bool = False, with_ids: bool = True) -> DataFrame:
     """Encode every whole text and cut it into pieces of at most ``window`` ids.
 
     Columns: doc_id, start (ids of the document before the piece), length, ids, ids_crc32 (their
     checksum as little-endian unsigned 32-bit integers), doc_tokens (all ids of the document).
     ``added_tokens``: whether the string of an added token in a text stands for that token, as in the
-    library's tokenizer as loaded.
+    library's tokenizer as loaded.  ``with_ids``: without it there is no column ids.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     model = spark.sparkContext.broadcast(tok.model_text(tokenizer_path))
+    schema = T.StructType([f for f in PIECES if with_ids or f.name != "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tok.encoder(model.value, keep_space=False, added_tokens=added_tokens)
@@ -59,11 +62,11 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, window: i
             end = np.minimum(begin + window, offsets[doc + 1])
             raw = memoryview(ids.astype("<u4")).cast("B")
             crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(begin.tolist(), end.tolist())]
-            lists = pa.ListArray.from_arrays(np.append(begin, end[-1:]).astype(np.int32), ids)
+            lists = [pa.ListArray.from_arrays(np.append(begin, end[-1:]).astype(np.int32), ids)] if with_ids else []
             doc_id = batch.column("doc_id").take(pa.array(doc))  # nulls stay nulls
-            yield pa.RecordBatch.from_arrays([doc_id, pa.array(start), pa.array(end - begin), lists, pa.array(crc, pa.int64()), pa.array(n[doc])], names=PIECES.names)
+            yield pa.RecordBatch.from_arrays([doc_id, pa.array(start), pa.array(end - begin), *lists, pa.array(crc, pa.int64()), pa.array(n[doc])], names=schema.names)
 
-    return id_text(docs).mapInArrow(cut, PIECES)
+    return id_text(docs).mapInArrow(cut, schema)
 
 
 class RoomTree:
@@ -137,7 +140,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, group_pieces: int = GROUP_PIEC
         first = key[0].as_py() << 32
         return group.append_column("sequence_id", pa.array(first + sequence)).append_column("offset", pa.array(offset))
 
-    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
+    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("pack_group").applyInArrow(place, schema)
 
 

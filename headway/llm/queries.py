@@ -66,8 +66,8 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    pieces = packing.tokenize_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, added_tokens=True)
-    return packing.pack(pieces.drop("ids"))
+    pieces = packing.tokenize_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, added_tokens=True, with_ids=False)
+    return packing.pack(pieces)
 
 
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -179,3 +179,32 @@ def test_hadamard_keeps_length():
     x = np.random.default_rng(0).standard_normal((5, 32))
     assert np.allclose(np.linalg.norm(embeddings.hadamard(x), axis=1), np.linalg.norm(x, axis=1))
     assert np.allclose(embeddings.hadamard(embeddings.hadamard(x)), x)
+
+
+def test_rows_without_an_id_bridge_others(spark):
+    """1 ~ bridge ~ 3, where all copies of the bridge have no id: one component, as with an id."""
+    words = [f"w{i}" for i in range(200)]
+    head, tail = [f"p{i}" for i in range(9)], [f"x{i}" for i in range(9)]
+    first, bridge, third = " ".join(words), " ".join([*words[:191], *tail]), " ".join([*head, *words[9:191], *tail])
+    sets = [shingle_set(t, 3) for t in (first, bridge, third)]
+    similar = lambda a, b: 100 * len(a & b) >= 90 * len(a | b)
+    assert similar(sets[0], sets[1]) and similar(sets[1], sets[2]) and not similar(sets[0], sets[2])
+    lonely = " ".join(f"n{i}" for i in range(60))
+    rows = [(1, first), (3, third), *[(None, bridge)] * 40, (8, "else where"), (None, lonely), (None, lonely + " more")]
+    found = jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 90).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"]) for r in found if r["component_id"] is not None) == [(0, 1)] * 40 + [(1, 1), (3, 1), (8, 8)]
+    assert sum(r["component_id"] is None for r in found) == 2 and len(found) == len(rows)
+
+
+@pytest.mark.parametrize("hashes", range(2, 8))
+def test_recall_does_not_fall_with_longer_keys(hashes):
+    """Pairs at the threshold meet in a table whatever the number of hashes, which grows with the data."""
+    rng = np.random.default_rng(hashes)
+    x = rng.standard_normal((1_500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.standard_normal(x.shape)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = 0.95 * x + np.sqrt(1 - 0.95**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    a, b = (embeddings.bucket_keys(v, hashes).reshape(len(v), -1, embeddings.PROBES) for v in (x, y))
+    met = (a[:, :, :, None] == b[:, :, None, :]).any(axis=(1, 2, 3))
+    assert met.mean() >= 0.95

@@ -4,10 +4,12 @@ import hashlib
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from headway.llm import language, queries, secrets
+from headway.llm.common import crc_fold
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 SF = "/root/testdata/sf0.01"
@@ -145,3 +147,51 @@ def test_training_sample_is_bounded(spark):
     docs = spark.range(500).selectExpr("id AS doc_id", "concat('text ', id) AS text", "if(id % 3 = 0, 'a', 'b') AS lang")
     sample = language.training_sample(docs, per_lang=20).groupBy("lang").count().collect()
     assert {r["lang"]: r["count"] for r in sample} == {"a": 20, "b": 20}
+
+
+def test_training_sample_of_repeated_rows_and_many_languages(spark):
+    docs = spark.range(5_000).selectExpr("cast(7 as long) AS doc_id", "'the same text' AS text", "'a' AS lang")
+    assert language.training_sample(docs, per_lang=20).count() == 1
+    many = spark.range(3_000).selectExpr("cast(null as long) AS doc_id", "concat('text ', id) AS text", "concat('l', id % 100) AS lang").unionByName(docs)
+    sample = language.training_sample(many, per_lang=5, max_langs=10).groupBy("lang").count().collect()
+    assert len(sample) == 10 and max(r["count"] for r in sample) == 5
+
+
+FOREIGN = {
+    "it": "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita e quanto a dir qual era cosa dura ",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto ",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem ",
+    "tr": "Bütün insanlar hür haysiyet ve haklar bakımından eşit doğarlar akıl ve vicdana sahiptirler ve birbirlerine karşı ",
+    "none": "xkcd qzvb jhgf wrtp zxcv bnmk lkjh gfds qwrt ypsd fghj klzx cvbn mqwr tzps dfgh jklm nbvc xzlk jhgt rwqp ",
+}
+
+
+@pytest.mark.parametrize("length", [90, 130, 400, 1_300])
+def test_unknown_languages_are_rejected(classifier, length):
+    for name, text in FOREIGN.items():
+        lang, score, rejected = classifier.predict((text * 20)[:length])
+        assert rejected, (name, length, lang, score)
+
+
+def test_clean_rows_are_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = language.identify(docs, language.train(docs.where(crc_fold("doc_id") != 0))).collect()
+    assert sum(r["rejected"] for r in found) <= 0.01 * len(found)
+
+
+def plain_prediction(model, text):
+    """Nearest centroid by dense vectors and plain counting."""
+    text = language.letters(text)
+    total = np.zeros(language.DIMENSIONS)
+    at, n = language.counts(text)
+    total[at] = (1 + np.log(n)) * model.idf[at]
+    cosines = [float(total @ model.centroids[:, j]) / np.linalg.norm(total) / np.linalg.norm(model.centroids[:, j]) for j in range(model.centroids.shape[1])]
+    best = max(range(len(cosines)), key=lambda j: cosines[j])
+    return model.langs[model.owner[best]], cosines[best]
+
+
+def test_predictions_equal_plain_nearest_centroid(spark, classifier):
+    for row in spark.read.parquet(f"{SF}/documents.parquet").where("text is not null").limit(60).collect():
+        lang, score = plain_prediction(classifier, row["text"])
+        found = classifier.predict(row["text"])
+        assert found[0] == lang and abs(found[1] - score) < 1e-9

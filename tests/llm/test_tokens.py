@@ -180,3 +180,12 @@ def test_packing(spark):
     rows = packing.pack(packing.tokenize_pieces(odd, WORD, end_id=2)).collect()
     assert sorted((r["doc_id"] or 0, r["length"]) for r in rows) == [(0, 3), (4, 2), (4, 2)]
     assert packed.select(F.min("offset")).first()[0] == 0
+
+
+def test_packing_spreads_rows_without_an_id(spark):
+    pieces = spark.range(12_000).selectExpr("cast(null as long) AS doc_id", "cast(0 as long) AS start", "cast(1 + id % 300 as long) AS length")
+    packed = packing.pack(pieces, group_pieces=1_000)
+    groups = packed.selectExpr("sequence_id >> 32 AS g").groupBy("g").count().collect()
+    assert len(groups) == 12 and max(r["count"] for r in groups) < 1_400
+    filled = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+    assert all(r["n"] == r["end"] <= packing.WINDOW for r in filled) and sum(r["n"] for r in filled) == pieces.agg(F.sum("length")).first()[0]
