@@ -6,7 +6,7 @@ sublinear counts times inverse document frequency, scaled to length one.  Each l
 centroids (spherical k-means over its sample), so that a language with several styles is not
 averaged into one.  The prediction is the language of the centroid with the greatest cosine, and
 the score is that cosine.  A text is rejected when its cosine lies far below the median that texts
-of its length reach which the centroids have not seen: each half of the sample is compared with
+of its size (its number of different n-grams) reach which the centroids have not seen: each half of the sample is compared with
 centroids of the other half.
 
 The classifier is fitted on the driver on a bounded sample of labelled rows: for each of the
@@ -41,11 +41,14 @@ SAMPLE_PER_LANG = 400
 MAX_LANGS = 64
 SAMPLE_CHARS = 100_000
 CENTROIDS = 4
-#: Letters and blanks of the cut sample texts from which the rejection thresholds are taken.
-LENGTHS = (4, 8, 16, 32, 64, 128, 256, 512, 1024)
-#: A text is rejected below this share of the median cosine that unseen sample texts reach at its length
-#: (interpolated between the lengths above); texts shorter than the first are kept.
-REJECT_SHARE = 0.385
+#: Letters and blanks of the cut sample texts from which the rejection thresholds are taken, and the
+#: least numbers of different n-grams of the bins that they fall into.  A long text that repeats a
+#: few words tells no more than a short one, so it is measured by its different n-grams.
+LENGTHS = (4, 8, 16, 32, 64, 128, 256, 512, 1024, 4096)
+SIZES = (8, 16, 32, 64, 128, 256, 512, 1024, 2048)
+#: A text is rejected below this share of the median cosine that unseen sample texts of its size reach
+#: (interpolated between the bins); texts of less than the first size are kept.
+REJECT_SHARE = 0.43
 #: Sample texts of a length that a median is taken from, at least.
 FILLED = 8
 
@@ -91,19 +94,20 @@ class Classifier:
         length = np.sqrt((value * value).sum())
         return at, value / length if length else value
 
-    def cosines(self, text: str) -> np.ndarray:
+    def cosines(self, text: str) -> tuple[np.ndarray, int]:
+        """The cosine of each centroid with a text, and how many different n-grams the text has."""
         at, value = self.vector(text)
-        return value @ self.centroids[at]
+        return value @ self.centroids[at], len(at)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, rejected) of one text."""
         if not text or not self.langs or not _LETTER.search(text):
             return UNKNOWN, 0.0, True
         text = letters(text)
-        cos = self.cosines(text)
+        cos, size = self.cosines(text)
         best = int(cos.argmax())
         score = float(min(1.0, max(0.0, cos[best])))
-        usual = np.interp(np.log2(len(text)), np.log2(LENGTHS), self.usual) if len(text) >= LENGTHS[0] else 0.0
+        usual = np.interp(np.log2(size), np.log2(SIZES) + 0.5, self.usual) if size >= SIZES[0] else 0.0
         return self.langs[self.owner[best]], score, bool(score < REJECT_SHARE * usual)
 
 
@@ -129,7 +133,7 @@ def _fitted(rows: list[tuple[str, str]]) -> Classifier:
     for _, text in rows:
         frequency[counts(text)[0]] += 1
     idf = np.log((1 + len(rows)) / (1 + frequency)) + 1
-    model = Classifier(langs, idf, np.zeros((DIMENSIONS, 0)), np.zeros(0, int), np.zeros(len(LENGTHS)))
+    model = Classifier(langs, idf, np.zeros((DIMENSIONS, 0)), np.zeros(0, int), np.zeros(len(SIZES)))
     centroids, owner = [], []
     for j, lang in enumerate(langs):
         x = np.zeros((sum(own == lang for own, _ in rows), DIMENSIONS))
@@ -145,16 +149,18 @@ def _fitted(rows: list[tuple[str, str]]) -> Classifier:
 
 
 def usual_cosines(models: list[Classifier], unseen: list[list[tuple[str, str]]]) -> np.ndarray:
-    """Per length, the median of the greatest cosines of texts that a model has not seen, cut to that length.
+    """Per size, the median of the greatest cosines of texts, whole and cut, that a model has not seen.
 
-    A length that too few texts reach takes over the value of the longest one below it.
+    A bin that too few of them fall into takes over the value of the filled one below it.
     """
-    usual = np.zeros(len(LENGTHS))
-    for b, n in enumerate(LENGTHS):
-        reached = [
-            model.cosines(text[:n]).max() for model, rows in zip(models, unseen) if model.langs for _, text in rows if len(text) >= n and _LETTER.search(text[:n])
-        ]
-        usual[b] = np.median(reached) if len(reached) >= FILLED else usual[b - 1] if b else 0.0
+    cut = [(model, text[:n]) for model, rows in zip(models, unseen) if model.langs for _, text in rows for n in LENGTHS if len(text) >= n]
+    reached = [(size, cosines.max()) for cosines, size in (model.cosines(text) for model, text in cut if _LETTER.search(text))]
+    sizes, cosines = (np.array(x) for x in zip(*reached)) if reached else (np.zeros(0), np.zeros(0))
+    bins = np.searchsorted(SIZES, sizes, side="right") - 1
+    usual = np.zeros(len(SIZES))
+    for b in range(len(SIZES)):
+        own = cosines[bins == b]
+        usual[b] = np.median(own) if len(own) >= FILLED else usual[b - 1] if b else 0.0
     return usual
 
 
