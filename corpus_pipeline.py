@@ -13,6 +13,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from headway.llm import jaccard, language, packing, secrets
 from headway.llm.common import read_table, staged
@@ -32,7 +33,8 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     found = jaccard.similar_components(docs, words=5, percent=80)
     kept = staged(found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct())
     rows = docs.select("doc_id", F.struct("*").alias("row"))
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("row"))
+    order = [F.col("row")[f.name] for f in docs.schema if isinstance(f.dataType, T.AtomicType)]  # of columns that have an order
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
     one = rows.join(kept, "doc_id", "left_semi").select("row", first.alias("place")).where("place = 1")
     return one.unionByName(rows.where(F.col("doc_id").isNull()).select("row", F.lit(1).alias("place"))).select("row.*")
 
@@ -44,8 +46,8 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their ids and their places in 4,096-token sequences."""
-    pieces = packing.tokenize_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, added_tokens=True)
-    return packing.pack(pieces.drop("ids"))
+    pieces = packing.tokenize_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, added_tokens=True, with_ids=False)
+    return packing.pack(pieces)
 
 
 STAGES = [("language_id", language_id), ("jaccard_join", jaccard_join), ("secret_scans", secret_scans), ("packing", packed)]
