@@ -682,15 +682,48 @@ def _weather_day_range(t):
 
 @query("refreshed_route_mart")
 def _refreshed_route_mart(t):
-    """A mart table replaced by a full refresh and read back."""
-    from headway.sources.tables import write_table
+    """A mart table replaced by a full refresh without a gap and read back."""
+    from headway.sources.tables import replace_table
     from headway.streaming.polls import scratch_folder
 
     spark = t.rt_updates.sparkSession
-    path = scratch_folder(spark, "route-mart")
+    base = scratch_folder(spark, "route-mart")
+    table = "route_mart_" + base.rpartition("-")[2]
     for mart in (route_perf(t).limit(1), route_perf(t)):
-        write_table(mart, path)
-    return spark.read.parquet(path)
+        replace_table(mart, table, base)
+    return spark.table(table)
+
+
+@query("static_zip_stop_times")
+def _static_zip_stop_times(t):
+    """Timetable written into several zip archives and loaded by (archive, member) partitions (A3)."""
+    from headway.sources.archives import write_archives
+    from headway.sources.static import read_static_archives
+    from headway.streaming.polls import scratch_folder
+
+    spark = t.rt_updates.sparkSession
+    folder = scratch_folder(spark, "static-zip")
+    write_archives({
+        "stops.txt": (t.stops, "stop_id"), "routes.txt": (t.routes, "route_id"), "trips.txt": (t.trips, "trip_id"), "stop_times.txt": (t.stop_times, "trip_id"),
+    }, folder, 5)
+    return read_static_archives(spark, f"{folder}/*.zip")["gtfs_stop_times"].drop("archive", "loaded_at")
+
+
+@query("table_inventory")
+def _table_inventory(t):
+    """Which input tables are there, with their sizes; one that is not is reported."""
+    from headway.sources.tables import table_inventory
+
+    spark = t.rt_updates.sparkSession
+    return table_inventory(spark, [f"{t.source_key}.{name}" for name in ("trips", "stops", "routes", "stop_times", "rt_updates", "weather", "fares")])
+
+
+@query("describe_inputs")
+def _describe_inputs(t):
+    """Columns, types, known rows and least values of the trip and stop tables."""
+    from headway.sources.tables import describe
+
+    return describe(t.trips, "trips").unionByName(describe(t.stops, "stops"))
 
 
 @query("event_windows_absent")

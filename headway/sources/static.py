@@ -2,21 +2,14 @@
 
 from __future__ import annotations
 
-import csv
-import io
 import os
-import uuid
-import zipfile
-from collections.abc import Iterator
-from itertools import islice
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headway import schemas
-from headway.session import checkpoint_dir
+from headway.sources.archives import read_members
 
 # Timetable members and the table each one loads into.
 STATIC_MEMBERS = {
@@ -61,54 +54,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-#: Rows of a member that are handed on at a time.
-CHUNK_ROWS = 10_000
-
-ARCHIVE_ROWS = T.StructType(
-    [
-        T.StructField("archive", T.StringType()),
-        T.StructField("member", T.StringType()),
-        T.StructField("names", T.ArrayType(T.StringType())),
-        T.StructField("fields", T.ArrayType(T.StringType())),
-    ]
-)
-
-
-def _unzip_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(path, content) archives -> a row per CSV row with its header; a missing member is a row without one."""
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                for member in STATIC_MEMBERS:
-                    if member not in zf.namelist():
-                        yield pd.DataFrame([(path, member, None, None)], columns=ARCHIVE_ROWS.names)
-                        continue
-                    with zf.open(member) as fh:
-                        reader = csv.reader(io.TextIOWrapper(fh, encoding="utf-8-sig", newline=""))
-                        names = next(reader, [])
-                        while rows := [(path, member, names, row) for row in islice(reader, CHUNK_ROWS)]:
-                            yield pd.DataFrame(rows, columns=ARCHIVE_ROWS.names)
-
-
 def read_static_archives(spark: SparkSession, pattern: str) -> dict[str, DataFrame]:
     """Load timetable members from many zip archives (one feed per archive).
 
-    Archives are spread over tasks by the binary-file source.  They are unzipped once, in chunks,
-    into a table in the shared folder, from which every member is read.  Fields go by the header's
-    names: a column that a member lacks is NULL, further ones are ignored, an empty field is NULL.
-    A member missing from an archive is an error, as for a folder.
+    Each (archive, member) is a partition of its own, read by ranges and streamed (``archives``).
+    Fields go by the header's names: a column that a member lacks is NULL, further ones are ignored,
+    an empty field is NULL.  A member missing from an archive is an error, as for a folder.
     """
-    files = spark.read.format("binaryFile").load(pattern).select("path", "content")
-    unzipped = f"{checkpoint_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
-    files.mapInPandas(_unzip_members, ARCHIVE_ROWS).write.partitionBy("member").parquet(unzipped)
-    rows = spark.read.schema(ARCHIVE_ROWS).parquet(unzipped)
-    missing = rows.where(F.col("names").isNull()).select("archive", "member").limit(1).collect()
-    if missing:
-        raise FileNotFoundError(f"{missing[0]['member']} not found in {missing[0]['archive']}")
     out = {}
-    for member, (table, schema) in STATIC_MEMBERS.items():
-        part = rows.where(F.col("member") == member)
+    for member, rows in read_members(spark, pattern, list(STATIC_MEMBERS)).items():
+        table, schema = STATIC_MEMBERS[member]
         place = lambda name: F.array_position("names", name).cast("int")
         value = lambda name: F.when(place(name) > 0, F.nullif(F.get("fields", place(name) - 1), F.lit("")))
-        out[table] = _with_loaded_at(part.select("archive", *(value(f.name).cast(f.dataType).alias(f.name) for f in schema.fields)))
+        out[table] = _with_loaded_at(rows.select("archive", *(value(f.name).cast(f.dataType).alias(f.name) for f in schema.fields)))
     return out

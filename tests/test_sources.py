@@ -119,3 +119,50 @@ def test_raw_layer_follows_its_input(spark, tmp_dir):
     os.remove(f"{tmp_dir}/orders.parquet")
     os.rename(f"{tmp_dir}/new.parquet", f"{tmp_dir}/orders.parquet")
     assert before > 10 and raw_transit(spark, tmp_dir).trips.count() == 10
+
+
+def test_archive_members_are_partitions_of_their_own(spark, tmp_dir):
+    from headway.sources.archives import read_members
+
+    for i, rows in enumerate((3, 40_000)):
+        with zipfile.ZipFile(os.path.join(tmp_dir, f"size{i}.zip"), "w") as zf:
+            zf.writestr("a.txt", "x,y\n" + "".join(f"{r},v{i}\n" for r in range(rows)))
+            zf.writestr("b.txt", "z\n" + "q\n" * (i + 1))
+    members = read_members(spark, os.path.join(tmp_dir, "size*.zip"), ["a.txt", "b.txt"])
+    a = members["a.txt"]
+    assert a.rdd.getNumPartitions() == 2 and a.count() == 40_003
+    assert {tuple(r["names"]) for r in members["b.txt"].collect()} == {("z",)} and members["b.txt"].count() == 3
+    with pytest.raises(FileNotFoundError):
+        read_members(spark, os.path.join(tmp_dir, "size*.zip"), ["c.txt"])
+
+
+def test_refresh_without_a_gap(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from headway.sources.tables import replace_table, table_location
+
+    table = "gapless_" + os.path.basename(tmp_dir).replace("-", "_")
+    replace_table(spark.range(3), table, tmp_dir)
+    reader = spark.table(table)  # has begun with the first version
+    replace_table(spark.range(5), table, tmp_dir)
+    assert reader.count() == 3 and spark.table(table).count() == 5
+    failing = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("broken")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        replace_table(failing, table, tmp_dir)
+    assert spark.table(table).count() == 5
+    with pytest.raises(ValueError):
+        replace_table(spark.range(1).selectExpr("id AS other"), table, tmp_dir)
+    replace_table(spark.range(7), table, tmp_dir)
+    assert spark.table(table).count() == 7
+    folder = os.path.join(tmp_dir, table)
+    assert len(os.listdir(folder)) == 2 and os.path.basename(table_location(spark, table)) in os.listdir(folder)
+
+
+def test_inventory_and_description(spark):
+    from headway.sources.tables import describe, table_inventory
+
+    spark.range(4).createOrReplaceTempView("there_view")
+    found = {r["table_name"]: (r["present"], r["column_count"], r["row_count"]) for r in table_inventory(spark, ["there_view", "nowhere"]).collect()}
+    assert found == {"there_view": (True, 1, 4), "nowhere": (False, None, None)}
+    df = spark.createDataFrame([("b", 2), (None, 1)], "s string, n int")
+    assert [tuple(r) for r in describe(df, "t").collect()] == [("t", 0, "s", "string", 1, "b"), ("t", 1, "n", "int", 2, "1")]
