@@ -31,6 +31,17 @@ def test_entry_works_without_the_optional_subpackage(monkeypatch):
     assert set(E.queries()) == set(QUERIES) == set(E.oracle_sql())
 
 
+def test_entry_works_where_the_optional_subpackage_cannot_be_imported(monkeypatch):
+    import sys
+
+    from headway.plans.catalog import QUERIES
+
+    monkeypatch.setattr(E, "find_spec", lambda name: name)
+    for name in [n for n in sys.modules if n.startswith("headway.llm")] + ["headway.llm.queries"]:
+        monkeypatch.setitem(sys.modules, name, None)  # as if what it needs were not installed
+    assert set(E.queries()) == set(QUERIES) == set(E.oracle_sql())
+
+
 @pytest.mark.parametrize("name", ["route_performance", "stop_performance", "event_window_impact", "risk_forecast",
                                   "mart_reconciliation", "coverage_strict"])
 def test_against_oracle(spark, name):
