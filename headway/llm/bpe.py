@@ -10,8 +10,9 @@ moving whole rows would cost their square, are merged with a heap instead.
 
 Decoding concatenates the bytes of the ids, so it gives back the text's bytes whatever they are.
 
-Defined results: a null text is empty and has no ids; repeated rows are encoded each; extra
-columns are ignored; an empty table gives no rows.  Special tokens' strings are ordinary text.
+Defined results: a null text is empty and has no ids; repeated rows are encoded each,
+whatever their id, a null one too; texts of any length are encoded whole; of equal ranks the leftmost
+pair is merged; extra columns are ignored; an empty table gives no rows.  Special tokens' strings are ordinary text.
 """
 
 from __future__ import annotations

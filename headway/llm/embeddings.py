@@ -13,7 +13,8 @@ find (both vectors carry all their keys), and a spanning forest of the links: ne
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with
 nothing; vectors of different length link with nothing; repeated ids get a row each and count as
-different vectors, rows with a null id are returned as they are and join in; extra columns are
+different vectors, rows with a null id are returned as they are and join in; of
+equally near corners the first one is the hash; extra columns are
 ignored; an empty table gives no rows.
 """
 

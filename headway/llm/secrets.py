@@ -16,8 +16,9 @@ text's parts so spread over its cells, and no pair of parts is ever a row of the
 All of it is DataFrame functions: positions come from the lengths of the matches and of what
 ``split`` leaves between them, in code points.
 
-Defined results: a null text is empty and has no spans; repeated rows are scanned each; an empty
-table gives no rows; extra columns are ignored by ``scan`` and kept by ``redact``.
+Defined results: a null text is empty and has no spans; repeated rows are scanned each,
+whatever their id, a null one too; texts of any length are scanned whole; spans that start alike are
+ordered by kind; an empty table gives no rows; extra columns are ignored by ``scan`` and kept by ``redact``.
 """
 
 from __future__ import annotations

@@ -6,8 +6,9 @@ pages are small enough that a reader skips most of a file: the writer keeps the
 indexes of every page, so a filter on doc_id reads only the pages that can match, and a reader of
 doc_id and n_tokens never touches the ids.
 
-Defined results: a null text is empty and holds the end id alone; repeated rows are written as
-often as they occur; extra columns are ignored; an empty table leaves no rows.
+Defined results: a null text is empty and holds the end id alone; texts of any length are
+encoded whole; repeated rows are written as often as they occur; null ids come first; rows of one id
+have no order in the files, and ``start`` counts them by number of ids and checksum; extra columns are ignored; an empty table leaves no rows.
 """
 
 from __future__ import annotations

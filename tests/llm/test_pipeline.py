@@ -88,5 +88,5 @@ def test_empty_table(spark, planted):
 
 def test_registered():
     names = set(E.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{i}" for i in range(1, 14)}
     assert E.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in E.oracle_sql()
