@@ -12,6 +12,8 @@ hot trips split); candidate rows are generated per observed row with
 (row, offset) pairs exist, then equi-joined to the timetable on
 (trip_id, static_seq).  Scores aggregate per (trip, offset) with partial
 aggregation; the best offset is a per-trip min over a struct (no window).
+On trips of many offsets, ``search_best_offsets`` scores only those that exact
+bounds leave (``offset_search``).
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from headway.functions.timefn import (
     utc_wall_clock,
 )
 from headway.operators.median import median_count_mean
+from headway.operators.offset_search import offset_ranges, whole_ranges
 from headway.operators.sequence import key_counts, sequence_number
 
 SCORERS = ("median_minutes", "circular_seconds", "aligned_rows")
@@ -103,10 +106,8 @@ def candidate_offsets(candidates: DataFrame) -> DataFrame:
     )
 
 
-def _candidate_rows(rt_seq: DataFrame, st_seq: DataFrame, candidates: DataFrame, st_cols: list[str]) -> DataFrame:
-    rows = rt_seq.join(candidates.select("trip_id", "static_count"), "trip_id").select(
-        "*", F.explode(F.sequence(F.lit(0), (F.col("static_count") - F.col("rt_count")).cast("int"))).alias("seq_offset")
-    )
+def _candidate_rows(rt_seq: DataFrame, st_seq: DataFrame, ranges: DataFrame, st_cols: list[str]) -> DataFrame:
+    rows = rt_seq.join(ranges, "trip_id").select("*", F.explode(F.sequence("first_offset", "last_offset")).alias("seq_offset"))
     rows = rows.withColumn("static_seq", F.col("rt_seq") + F.col("seq_offset"))
     return rows.join(st_seq.select("trip_id", "static_seq", *st_cols), ["trip_id", "static_seq"])
 
@@ -117,8 +118,9 @@ def score_offsets(
     candidates: DataFrame,
     scorer: str = "median_minutes",
     tz: str = DEFAULT_TZ,
+    ranges: DataFrame | None = None,
 ) -> DataFrame:
-    """Score every candidate (trip, offset).
+    """Score every candidate (trip, offset), or those in ``ranges`` (trip_id, first_offset, last_offset).
 
     * ``median_minutes``: median and mean of |minute_diff(scheduled, actual)|,
       scheduled = local service date of the arrival + H:MM:SS.
@@ -126,8 +128,9 @@ def score_offsets(
       arrival's local second of day and the scheduled second of day.
     * ``aligned_rows``: number of aligned rows only.
     """
+    ranges = whole_ranges(candidates) if ranges is None else ranges
     if scorer == "median_minutes":
-        rows = _candidate_rows(rt_seq, st_seq, candidates, ["arrival_time"])
+        rows = _candidate_rows(rt_seq, st_seq, ranges, ["arrival_time"])
         actual = F.col("_actual_s")
         err = F.abs(minute_diff_seconds(scheduled_wall_seconds(actual, "arrival_time"), actual))
         rows = rows.withColumn("_actual_s", local_epoch_seconds("arrival_time_unix", tz)).select(
@@ -137,7 +140,7 @@ def score_offsets(
             rows, ["trip_id", "seq_offset"], "_abs_err", "median_abs_error_min", "avg_abs_error_min", "aligned_rows"
         )
     if scorer == "circular_seconds":
-        rows = _candidate_rows(rt_seq, st_seq, candidates, ["arrival_time"])
+        rows = _candidate_rows(rt_seq, st_seq, ranges, ["arrival_time"])
         dist = circular_seconds_distance(
             F.pmod(local_epoch_seconds("arrival_time_unix", tz), F.lit(86400)), hms_seconds("arrival_time")
         )
@@ -146,7 +149,7 @@ def score_offsets(
             F.avg(dist).alias("avg_abs_diff_seconds"),
         )
     if scorer == "aligned_rows":
-        rows = _candidate_rows(rt_seq, st_seq, candidates, [])
+        rows = _candidate_rows(rt_seq, st_seq, ranges, [])
         return rows.groupBy("trip_id", "seq_offset").agg(F.count(F.lit(1)).alias("aligned_rows"))
     raise ValueError(f"unknown scorer {scorer!r}; expected one of {SCORERS}")
 
@@ -193,6 +196,17 @@ def best_offsets(scores: DataFrame, scorer: str = "median_minutes") -> DataFrame
     raise ValueError(f"unknown scorer {scorer!r}")
 
 
+def search_best_offsets(
+    rt_seq: DataFrame, st_seq: DataFrame, candidates: DataFrame, tz: str = DEFAULT_TZ, whole: int | None = None
+) -> DataFrame:
+    """Best offset per trip by median minutes; on trips of many offsets only those that bounds leave are scored.
+
+    The same rows as ``best_offsets(score_offsets(...))``, see ``offset_search``.
+    """
+    ranges = offset_ranges(rt_seq, st_seq, candidates, tz, whole)
+    return best_offsets(score_offsets(rt_seq, st_seq, candidates, tz=tz, ranges=ranges))
+
+
 def trip_meta(trips: DataFrame) -> DataFrame:
     return trips.select("trip_id", "route_id", "direction_id", "service_id").distinct()
 
@@ -274,10 +288,9 @@ def align_best_offset(
     rt_seq = rt_sequence(rt_updates, snapshot)
     st_seq = static_sequence(stop_times, order_by)
     cand = offset_candidates(rt_seq.select("trip_id"), stop_times, trips if require_trip else None)
-    scores = score_offsets(rt_seq, st_seq, cand, scorer, tz)
-    best = best_offsets(scores, scorer)
     if scorer == "median_minutes":
-        return align_with_offsets(rt_seq, st_seq, best, trips, stops)
+        return align_with_offsets(rt_seq, st_seq, search_best_offsets(rt_seq, st_seq, cand, tz), trips, stops)
+    best = best_offsets(score_offsets(rt_seq, st_seq, cand, scorer, tz), scorer)
     if scorer == "circular_seconds":
         best = best.select(
             "trip_id",

@@ -43,7 +43,7 @@ def best_chain(t: TransitTables):
     st_seq = A.static_sequence(t.stop_times)
     cand = A.offset_candidates(t.rt_updates, t.stop_times, t.trips)
     scores = A.score_offsets(rt_seq, st_seq, cand)
-    best = A.best_offsets(scores)
+    best = A.search_best_offsets(rt_seq, st_seq, cand)
     return rt_seq, st_seq, cand, scores, best
 
 
@@ -102,6 +102,13 @@ def _best_trip_offsets(t):
     return best_table(t)
 
 
+@query("best_offsets_by_bounds")
+def _best_offsets_by_bounds(t):
+    """Best offset per trip, with bounds over blocks of offsets on every trip of two offsets and more (K3, K4)."""
+    rt_seq, st_seq, cand, _, _ = best_chain(t)
+    return A.search_best_offsets(rt_seq, st_seq, cand, whole=1)
+
+
 @query("nonzero_best_offsets")
 def _nonzero_best_offsets(t):
     """Trips whose best offset is not 0 (K8)."""
