@@ -467,6 +467,35 @@ def _mart_reconciliation(t):
     )
 
 
+def _written_marts(t) -> tuple[int, dict[str, dict]]:
+    """Write the delay layer and the marts that reconcile with it; its rows, and what each write observed."""
+    from headway.sources import observed as OB
+    from headway.streaming.polls import scratch_folder
+
+    base = scratch_folder(t.rt_updates.sparkSession, "observed")
+    rows = OB.write_observed(delay_layer(t), f"{base}/delay", OB.rows_written())["row_count"]
+    marts = {"route_performance": route_perf(t), "stop_performance": stop_perf(t), "route_hour_performance": route_hour(t)}
+    return rows, {name: OB.write_observed(df, f"{base}/{name}", OB.event_totals()) for name, df in marts.items()}
+
+
+@query("mart_reconciliation_observed")
+def _mart_reconciliation_observed(t):
+    """Each mart's events against delay rows, both as their writes observed them."""
+    from headway.sources.observed import reconciliation
+
+    return reconciliation(t.rt_updates.sparkSession, *_written_marts(t))
+
+
+@query("mart_null_audit_observed")
+def _mart_null_audit_observed(t):
+    """NULL counts of the route mart as its write observed them."""
+    from headway.sources import observed as OB
+    from headway.streaming.polls import scratch_folder
+
+    spark = t.rt_updates.sparkSession
+    return OB.null_audit(spark, OB.write_observed(route_perf(t), f"{scratch_folder(spark, 'audit')}/route_performance", OB.null_counts()))
+
+
 @query("mart_null_audit")
 def _mart_null_audit(t):
     """NULL counts in the route mart."""
@@ -620,17 +649,31 @@ def _rows_per_trip_offset(t):
     return AU.rows_per_group(aligned_best(t), ["trip_id", "best_offset"])
 
 
-@query("load_summary")
-def _load_summary(t):
-    """Row counts and time span of each input."""
-    return AU.load_summary({
+def _loads(t: TransitTables) -> dict[str, tuple[DataFrame, str | None]]:
+    return {
         "gtfs_rt_trip_updates": (t.rt_updates, "poll_timestamp"),
         "weather_hourly": (t.weather, "observation_datetime"),
         "gtfs_stops": (t.stops, None),
         "gtfs_routes": (t.routes, None),
         "gtfs_trips": (t.trips, None),
         "gtfs_stop_times": (t.stop_times, None),
-    })
+    }
+
+
+@query("load_summary")
+def _load_summary(t):
+    """Row counts and time span of each input."""
+    return AU.load_summary(_loads(t))
+
+
+@query("load_summary_observed")
+def _load_summary_observed(t):
+    """The load summary as the writes of the inputs observed it, without a scan of what was written."""
+    from headway.sources.observed import load_tables
+    from headway.streaming.polls import scratch_folder
+
+    spark = t.rt_updates.sparkSession
+    return load_tables(spark, _loads(t), scratch_folder(spark, "loads"))
 
 
 @query("input_readiness")
@@ -790,6 +833,28 @@ def _stream_poll_append(t):
     return spark.read.parquet(f"{base}/polls")
 
 
+@query("stream_load_summary")
+def _stream_load_summary(t):
+    """Rows and time span of two streamed polls, added up by a listener from what each batch observed."""
+    from headway.sources.observed import StreamSummary
+    from headway.streaming.polls import scratch_folder, start_poll_append
+
+    spark = t.rt_updates.sparkSession
+    base = scratch_folder(spark, "poll-summary")
+    summary = StreamSummary("gtfs_rt_trip_updates", "poll_timestamp")
+    spark.streams.addListener(summary)
+    try:
+        for part in (0, 1):
+            _write_polls(t, f"{base}/feed", part)
+            summary.ended.clear()
+            start_poll_append(spark, f"{base}/feed", f"{base}/polls", f"{base}/ckpt", summary=summary).awaitTermination()
+            if not summary.ended.wait(60):  # events come after the query's end
+                raise TimeoutError("no end of the stream was seen")
+    finally:
+        spark.streams.removeListener(summary)
+    return summary.frame(spark)
+
+
 def _refreshed(t: TransitTables, label: str) -> str:
     """Stream both polls of every trip through the refresh; returns the folder of its outputs."""
     from headway.streaming.polls import scratch_folder, start_delay_refresh
@@ -816,7 +881,7 @@ def _stream_delay_refresh(t):
     return t.rt_updates.sparkSession.read.parquet(f"{base}/delay").select(*cols)
 
 
-def _mart_stream(t: TransitTables, label: str):
+def _mart_stream(t: TransitTables, label: str, **options):
     """Stream both polls of every trip, one after the other, through the incremental marts."""
     from headway.streaming.marts import MartStream
     from headway.streaming.polls import scratch_folder
@@ -824,7 +889,7 @@ def _mart_stream(t: TransitTables, label: str):
     spark = t.rt_updates.sparkSession
     base = scratch_folder(spark, label)
     buckets = default_buckets(spark)
-    stream = MartStream(spark, f"{base}/stream", t, trip_buckets=buckets, group_buckets=buckets)
+    stream = MartStream(spark, f"{base}/stream", t, trip_buckets=buckets, group_buckets=buckets, **options)
     for part in (0, 1):
         _write_polls(t, f"{base}/feed", part)
         stream.start(f"{base}/feed").awaitTermination()
@@ -858,6 +923,16 @@ def _stream_mart_refresh(t):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query("stream_trip_state")
+def _stream_trip_state(t):
+    """Delay layer of a stream that holds each running trip's rows as keyed state, restarted between two polls; equals the batch layer."""
+    from headway.operators.delay import DELAY_COLUMNS
+
+    cols = list(DELAY_COLUMNS)
+    cols.insert(4, "best_offset")
+    return _mart_stream(t, "trip-state", keyed_state=True).delay().select(*cols)
+
+
 @query("event_window_pairs")
 def _event_window_pairs(t):
     """Delay rows with every event window around them (C11)."""

@@ -21,8 +21,12 @@ from headway.operators import risk as RK
 from headway.operators import weather as W
 from headway.operators import windows as WN
 from headway.sources.fixtures import TransitTables
+from headway.sources.observed import event_totals, null_audit, null_counts, reconciliation, rows_written, write_observed
 from headway.sources.tables import write_table
 
+#: Marts whose stop events add up to the rows of the delay layer.
+RECONCILED_MARTS = ("route_performance", "stop_performance", "route_hour_performance")
+
 
 @dataclass
 class MartPaths:
@@ -39,11 +43,14 @@ def build_marts(
     as_of: str,
     tz: str = K.DEFAULT_TZ,
 ) -> dict[str, DataFrame]:
-    """Write staging and mart tables under ``out_dir``; return them re-read from storage."""
+    """Write staging and mart tables under ``out_dir``; return them re-read from storage.
+
+    Two more tables come from figures that the writes observed: ``mart_reconciliation`` and ``mart_null_audit``.
+    """
     paths = MartPaths(out_dir)
 
     aligned = A.align_best_offset(t.rt_updates, t.stop_times, t.trips, t.stops, tz=tz)
-    write_table(DL.delay_layer(aligned, tz), paths["delay_preview_best_offset"], partition_by=["service_date_local"])
+    written = write_observed(DL.delay_layer(aligned, tz), paths["delay_preview_best_offset"], rows_written(), partition_by=["service_date_local"])
     delay = spark.read.parquet(paths["delay_preview_best_offset"])
 
     enriched = W.enrich_weather(delay, t.weather)
@@ -51,10 +58,10 @@ def build_marts(
     enriched = spark.read.parquet(paths["delay_weather_enriched"])
 
     route = kpi.route_performance(delay, t.rt_updates, t.trips)
-    write_table(route, paths["route_performance"])
+    seen = {"route_performance": write_observed(route, paths["route_performance"], {**event_totals(), **null_counts()})}
     route = spark.read.parquet(paths["route_performance"])
     route_hour = kpi.route_hour_performance(delay, t.rt_updates, t.trips, tz)
-    write_table(route_hour, paths["route_hour_performance"])
+    seen["route_hour_performance"] = write_observed(route_hour, paths["route_hour_performance"], event_totals())
     route_hour = spark.read.parquet(paths["route_hour_performance"])
 
     outputs = {
@@ -68,6 +75,15 @@ def build_marts(
         "risk_forecast_next_24h": RK.risk_forecast(route_hour, t.weather, as_of),
     }
     for name, df in outputs.items():
+        if name in RECONCILED_MARTS:
+            seen[name] = write_observed(df, paths[name], event_totals())
+        else:
+            write_table(df, paths[name])
+    checks = {
+        "mart_reconciliation": reconciliation(spark, written["row_count"], {name: seen[name] for name in RECONCILED_MARTS}),
+        "mart_null_audit": null_audit(spark, seen["route_performance"]),
+    }
+    for name, df in checks.items():
         write_table(df, paths[name])
 
     tables = {
@@ -76,5 +92,5 @@ def build_marts(
         "route_performance": route,
         "route_hour_performance": route_hour,
     }
-    tables.update({name: spark.read.parquet(paths[name]) for name in outputs})
+    tables.update({name: spark.read.parquet(paths[name]) for name in [*outputs, *checks]})
     return tables

@@ -24,6 +24,7 @@ from headway.operators import kpi
 from headway.operators.align import align_best_offset
 from headway.operators.delay import delay_layer
 from headway.session import checkpoint_dir
+from headway.sources.observed import StreamSummary
 from headway.sources.realtime import RT_COLUMNS, flatten_trip_updates
 from headway.sources.tables import write_table
 from headway.streaming.versions import remove_folder, write_sliced
@@ -51,9 +52,15 @@ def start_poll_append(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
     processing_time: str = "30 seconds",
+    summary: StreamSummary | None = None,
 ) -> StreamingQuery:
-    """Append flattened polls to a parquet poll log (checkpointed, exactly once)."""
+    """Append flattened polls to a parquet poll log (checkpointed, exactly once).
+
+    ``summary``, added to the session's listeners by the caller, gets the figures of the rows of each batch.
+    """
     rows = poll_stream(spark, feed_dir, max_files_per_trigger)
+    if summary is not None:
+        rows = summary.observed(rows)
     writer = (
         rows.writeStream.format("parquet")
         .option("path", sink_dir)
