@@ -58,16 +58,19 @@ class TripProcessor(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         stops, observed, ends_at, held = self.facts.get() or (0, 0, 0, True)
+        own = list(self.rows.get()) if held and 0 < observed < stops else []  # ``held_rows`` at most
         while chunk := list(islice(rows, CHUNK_ROWS)):
             observed += len(chunk)
             if held and observed <= stops:
-                self.rows.appendList([tuple(r[c] for c in OBSERVED.names) for r in chunk])
+                fresh = [tuple(r[c] for c in OBSERVED.names) for r in chunk]
+                own += fresh
+                self.rows.appendList(fresh)
             for r in chunk:
                 yield _ROW(*(r[c] for c in schemas.RT_TRIP_UPDATES.names), NEW)
         if observed > stops:  # never aligns again
             self.rows.clear()
         elif held:
-            for r in self.rows.get():
+            for r in own:
                 yield _ROW(key[0], *r, HELD)
         else:
             yield _ROW(key[0], *[None] * len(OBSERVED), LOGGED)
