@@ -25,6 +25,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: Rows of a member that are handed on at a time.
 CHUNK_ROWS = 10_000
+#: Rows of an archive that is written, on average at most: a task sorts and compresses one archive.
+ARCHIVE_ROWS = 1_000_000
 SCHEMA = "archive string, names array<string>, fields array<string>"
 _ARROW = pa.schema([("archive", pa.string()), ("names", pa.list_(pa.string())), ("fields", pa.list_(pa.string()))])
 
@@ -101,9 +103,13 @@ def read_members(spark: SparkSession, pattern: str, members: list[str]) -> dict[
     return {m: spark.read.format("zip_members").option("paths", json.dumps(paths)).option("member", m).load() for m in members}
 
 
-def write_archives(members: dict[str, tuple[DataFrame, str]], folder: str, archives: int) -> None:
-    """Write tables as CSV members of ``archives`` zip files, rows dealt by a key column; members: name -> (table, key)."""
+def write_archives(members: dict[str, tuple[DataFrame, str]], folder: str, archives: int, archive_rows: int = ARCHIVE_ROWS) -> None:
+    """Write tables as CSV members of ``archives`` zip files, rows dealt by a key column; members: name -> (table, key).
+
+    Large tables make more archives, so that none has more than some ``archive_rows`` rows (a key's rows stay together).
+    """
     headers = {name: table.columns for name, (table, _) in members.items()}
+    archives = max(archives, -(-sum(table.count() for table, _ in members.values()) // archive_rows))
 
     def rows(name: str) -> DataFrame:
         table, key = members[name]
@@ -114,7 +120,7 @@ def write_archives(members: dict[str, tuple[DataFrame, str]], folder: str, archi
     spark = next(iter(members.values()))[0].sparkSession
     heads = [(a, name, None) for a in range(archives) for name in headers]
     every = reduce(DataFrame.unionByName, map(rows, headers)).unionByName(spark.createDataFrame(heads, "archive int, member string, line string"))
-    sorted_rows = every.repartition(archives, "archive").sortWithinPartitions("archive", "member", F.asc_nulls_first("line"))
+    sorted_rows = every.repartitionById(archives, F.col("archive")).sortWithinPartitions("archive", "member", F.asc_nulls_first("line"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archive = member = None

@@ -166,3 +166,14 @@ def test_inventory_and_description(spark):
     assert found == {"there_view": (True, 1, 4), "nowhere": (False, None, None)}
     df = spark.createDataFrame([("b", 2), (None, 1)], "s string, n int")
     assert [tuple(r) for r in describe(df, "t").collect()] == [("t", 0, "s", "string", 1, "b"), ("t", 1, "n", "int", 2, "1")]
+
+
+def test_large_tables_make_more_archives(spark, tmp_dir):
+    from headway.sources.archives import matching, read_members, write_archives
+
+    table = spark.range(1_000).select(F.col("id").cast("string").alias("stop_id"), F.lit("n").alias("stop_name"))
+    write_archives({"stops.txt": (table, "stop_id")}, tmp_dir, 2, archive_rows=100)
+    assert len(matching(spark, f"{tmp_dir}/*.zip")) == 10
+    rows = read_members(spark, f"{tmp_dir}/*.zip", ["stops.txt"])["stops.txt"]
+    assert sorted(int(r["fields"][0]) for r in rows.collect()) == list(range(1_000))
+    assert rows.groupBy("archive").count().agg(F.max("count")).first()[0] < 200
