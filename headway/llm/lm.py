@@ -4,11 +4,12 @@ What is learned, and from what:
 
 * Word counts over all training documents (grouped on Spark).  They give the base score, and, each
   distinct word encoded once, how often each subword id follows each class inside words.
-* Token classes, from neighbours in the windows of ``SEED_DOCUMENTS`` documents; the attention
-  model's start values are trained on the same windows.
+* Token classes, from the neighbours of the ``FREQUENT`` most frequent tokens in all training documents,
+  counted by tasks and summed up on Spark; a table of fixed size comes back.
 * The attention model: it trains on every token of every training document and the end, in the
-  windows in which a text is scored; each partition trains on its windows from the common start,
-  and the parameters are averaged by the number of windows, as a grouped sum over parameter numbers.
+  windows in which a text is scored; each partition trains on its windows from the common start
+  (drawn at random, with each class at its share of all training tokens), and the parameters are
+  averaged by the number of windows, as a grouped sum over parameter numbers.
 
 A text is scored whole: its subword ids and the end id, in overlapping windows, each token once;
 log10 of the attention model's probability for its class, times the token's share in that class
@@ -45,12 +46,15 @@ from headway.llm import attention
 from headway.llm import tokens as tok
 from headway.llm.common import bounded_batches, staged, struct_type
 
-SEED_DOCUMENTS = 1024
 CLASSES = 64
-#: Words of the window that a seed document gives.
-WINDOW_WORDS = 48
+#: Tokens that are put into classes by their neighbours, and how many of them count as neighbours.
+FREQUENT, MARKS = 4096, 256
+#: Pairs of neighbours that a task holds before it adds them up.
+HELD_PAIRS = 1 << 22
 #: Subword ids of whole texts that are shuffled together in training, at least.
 GROUP_IDS = 1 << 18
+#: Adam's rate, and the windows of one step.
+RATE, BATCH_WINDOWS = 0.01, 128
 TOP_WORDS = 1 << 17
 TOP_WORD_CHARS = 32
 #: Distinct words that a process remembers before it begins anew.
@@ -59,7 +63,6 @@ TABLE_WORDS = 900_000
 ENCODER_CHUNKS = 100_000
 #: Distinct words that a task counts before it passes them on.
 HELD_WORDS = 400_000
-SEED_ROUNDS = 4
 #: Weight of a token's overall share in its class against its counts after a context.
 SMOOTHING = 20.0
 
@@ -69,7 +72,6 @@ END, BEGIN, REST = 0, 0, CLASSES - 1
 COUNTS = struct_type(word=T.StringType(), n=T.LongType())
 WORDS = struct_type(n=T.LongType(), ids=T.BinaryType())
 TOKENS = struct_type(token=T.IntegerType(), n=T.LongType())
-WINDOWS = struct_type(rank=T.LongType(), ids=T.BinaryType())
 WEIGHTS = struct_type(parameter=T.IntegerType(), total=T.DoubleType(), weight=T.LongType())
 SCORED = struct_type(
     doc_id=T.LongType(), held_out=T.BooleanType(), n_tokens=T.LongType(), n_known=T.LongType(), base=T.DoubleType(), score=T.DoubleType(),
@@ -160,48 +162,50 @@ def contexts_of(ids: np.ndarray, offsets: np.ndarray, classes: np.ndarray, ends:
     return out
 
 
-def seed_windows(texts: DataFrame, model_json: Broadcast) -> list[np.ndarray]:
-    """Subword ids of one window of each of ``SEED_DOCUMENTS`` rows of ``texts`` (doc_id, text), those of least hash.
+def frequent_tokens(counts: np.ndarray, end_id: int) -> np.ndarray:
+    frequent = np.argsort(-counts[:end_id], kind="stable")[:FREQUENT]
+    return frequent[counts[frequent] > 0]
 
-    Rows are chosen by their hash before anything is encoded; equal rows have equal hashes.
+
+def neighbours(texts: DataFrame, model_json: Broadcast, frequent: np.ndarray, end_id: int) -> np.ndarray:
+    """How often each frequent token has each of the first ``MARKS`` of them before it, then after it, in all ``texts``.
+
+    At most a row per number reaches the driver, whatever the size of the data.
     """
-    ranked = texts.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(F.xxhash64("doc_id", "text").alias("rank"), "text")
-    last = ranked.select("rank").orderBy("rank").limit(SEED_DOCUMENTS).agg(F.max("rank")).first()[0]
-    if last is None:
-        return []
+    marks = min(MARKS, len(frequent))
+    size = len(frequent) * 2 * marks
+    if not size:
+        return np.zeros((0, 0))
+    rank = np.zeros(end_id + 1, np.int16)  # from 1; 0: another token or an end
+    rank[frequent] = np.arange(1, len(frequent) + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tok.encoder(model_json.value, keep_space=False)
+        table = WordTable(tok.encoder(model_json.value, keep_space=False), rank)
+        total, held, n = np.zeros(size, np.int64), [], 0
         for batch in batches:
-            ranks = np.asarray(batch.column("rank"))
-            cut = []
-            for text, rank in zip(batch.column("text").to_pylist(), ranks.tolist()):
-                all_words = words(text)
-                at = rank % max(1, len(all_words) - WINDOW_WORDS + 1)
-                cut.append(" ".join(all_words[at : at + WINDOW_WORDS]))
-            yield pa.RecordBatch.from_arrays([batch.column("rank"), _binary(*encoder.encode(cut))], names=WINDOWS.names)
+            for at in range(0, batch.num_rows, 256):
+                tokens, _ = table.tokens(*table.look_up(batch.column("text").slice(at, 256).to_pylist()))
+                left, right = tokens[:-1], tokens[1:]  # an end between two texts
+                before, after = (left > 0) & (left <= marks) & (right > 0), (right > 0) & (right <= marks) & (left > 0)
+                held += [(right[before] - 1) * 2 * marks + left[before] - 1, (left[after] - 1) * 2 * marks + marks + right[after] - 1]
+                n += len(tokens)
+                if n > HELD_PAIRS:
+                    total += np.bincount(np.concatenate(held), minlength=size)
+                    held, n = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=size)
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found])], names=TOKENS.names)
 
-    seeds = ranked.where(F.col("rank") <= last).mapInArrow(run, WINDOWS).orderBy("rank", "ids").limit(SEED_DOCUMENTS).collect()
-    return [np.frombuffer(bytes(r["ids"]), "<u4").astype(np.int64) for r in seeds]
+    rows = texts.select("text").mapInArrow(run, TOKENS).groupBy("token").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size)
+    out[np.asarray(rows["token"])] = np.asarray(rows["n"])
+    return out.reshape(len(frequent), 2 * marks)
 
 
-def token_classes(counts: np.ndarray, samples: list[np.ndarray], end_id: int) -> np.ndarray:
+def token_classes(counts: np.ndarray, frequent: np.ndarray, near: np.ndarray, end_id: int) -> np.ndarray:
     """Class of each id: tokens of like neighbours together; the end alone, unseen and rare ones in the last."""
     classes = np.full(end_id + 1, REST)
-    frequent = np.argsort(-counts[:end_id], kind="stable")[:4096]
-    frequent = frequent[counts[frequent] > 0]
-    row_of = np.full(end_id + 1, -1)
-    row_of[frequent] = np.arange(len(frequent))
-    marks = min(256, len(frequent))
-    near = np.zeros((len(frequent), 2 * marks))
-    for ids in samples:
-        rows = row_of[ids]
-        for step, side in ((-1, 0), (1, marks)):
-            other = np.roll(rows, -step)
-            ok = (rows >= 0) & (other >= 0) & (other < marks)
-            if len(ok):
-                ok[0 if step < 0 else -1] = False
-            np.add.at(near, (rows[ok], other[ok] + side), 1)
     x = np.sqrt(near)
     x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
     groups = min(CLASSES - 2, len(x))
@@ -239,17 +243,17 @@ class Model:
 
 
 class WordTable:
-    """The classes of each word's tokens; a word is encoded once."""
+    """The classes (or other small numbers) of each word's tokens; a word is encoded once."""
 
     def __init__(self, encoder: tok.CachedEncoder, classes: np.ndarray):
-        self.encoder, self.class_of = encoder, classes
+        self.encoder, self.class_of = encoder, classes.astype(np.uint8 if classes.max(initial=0) < 256 else np.int16)
         encoder.max_chunks = ENCODER_CHUNKS
         self.clear()
 
     def clear(self) -> None:
         self.numbers = tok.Numbers()
         self.words: list[bytes] = []
-        self.classes = np.empty(0, np.uint8)
+        self.classes = np.empty(0, self.class_of.dtype)
         self.start = np.zeros(1, np.int64)
 
     def look_up(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -267,7 +271,7 @@ class WordTable:
 
     def add(self, new: list[bytes], ids: np.ndarray, offsets: np.ndarray) -> None:
         self.words += new
-        self.classes = np.concatenate([self.classes, self.class_of[ids].astype(np.uint8)])
+        self.classes = np.concatenate([self.classes, self.class_of[ids]])
         self.start = np.concatenate([self.start, self.start[-1] + offsets[1:]])
 
     def tokens(self, words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -323,15 +327,14 @@ def shares(counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return out
 
 
-def seeded(classes: np.ndarray, samples: list[np.ndarray]) -> Model:
-    """An attention model trained on the sample windows; the shares are still to be set."""
-    model = Model(attention.initial(CLASSES), classes, np.zeros((1, 1)), np.zeros(1))
-    if samples:
-        inputs, targets, _ = model.windows(np.concatenate(samples), np.cumsum([0, *map(len, samples)]))
-        trainer = attention.Trainer(model.params)
-        trainer.train(inputs, targets, SEED_ROUNDS)
-        model.params = trainer.params
-    return model
+def untrained(classes: np.ndarray, counts: np.ndarray, documents: int) -> Model:
+    """An attention model before its training: each class at its share of all training tokens; the shares of ids are still to be set."""
+    params = attention.initial(CLASSES)
+    of_class = np.bincount(classes, counts, minlength=CLASSES)
+    of_class[END] += documents
+    if documents:
+        params["bias"] = np.log((of_class + 0.5) / (of_class + 0.5).sum()).astype(np.float32)
+    return Model(params, classes, np.zeros((1, 1)), np.zeros(1))
 
 
 def training_groups(table: WordTable, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -355,11 +358,11 @@ def averaged(model: Model, texts: DataFrame, model_json: Broadcast) -> attention
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         table = WordTable(tok.encoder(model_json.value, keep_space=False), model.classes)
-        trainer = attention.Trainer(model.params, rate=0.003)
+        trainer = attention.Trainer(model.params, rate=RATE)
         seen = 0
         for batch in batches:
             for inputs, targets in training_groups(table, batch.column("text").to_pylist()):
-                trainer.train(inputs, targets, 1, batch=256)
+                trainer.train(inputs, targets, 1, batch=BATCH_WINDOWS)
                 seen += len(inputs)
         if seen:
             values = attention.flat(trainer.params).astype(np.float64) * seen
@@ -375,15 +378,16 @@ def averaged(model: Model, texts: DataFrame, model_json: Broadcast) -> attention
     return attention.unflat(values, model.params)
 
 
-def train(texts: DataFrame, counts: DataFrame, tokenizer_path: str, end_id: int) -> tuple[Model, Broadcast]:
-    """The model learned from ``texts`` (doc_id, text), whose word counts are ``counts``."""
+def train(texts: DataFrame, counts: DataFrame, documents: int, tokenizer_path: str, end_id: int) -> tuple[Model, Broadcast]:
+    """The model learned from ``texts`` (text), ``documents`` rows, whose word counts are ``counts``."""
     spark = texts.sparkSession
     model_json = spark.sparkContext.broadcast(tok.model_text(tokenizer_path))
-    samples = seed_windows(texts, model_json)
     encoded = staged(encoded_words(counts, model_json))
     ends = piece_ends(tok.encoder(model_json.value, keep_space=False), end_id + 1)
-    classes = token_classes(token_counts(encoded, end_id, ends)[0], samples, end_id)
-    model = seeded(classes, samples)
+    every = token_counts(encoded, end_id, ends)[0]
+    frequent = frequent_tokens(every, end_id)
+    classes = token_classes(every, frequent, neighbours(texts, model_json, frequent, end_id), end_id)
+    model = untrained(classes, every, documents)
     model.params = averaged(model, texts, model_json)
     model.share, model.ends = shares(token_counts(encoded, end_id, ends, classes), classes), ends
     return model, model_json
@@ -407,7 +411,7 @@ def score(docs: DataFrame, held_out: F.Column, tokenizer_path: str, end_id: int)
     short = counts.where(F.char_length("word") <= TOP_WORD_CHARS)
     top_rows = short.orderBy(F.desc("n"), "word").limit(TOP_WORDS).collect()
     top = spark.sparkContext.broadcast({r["word"].encode("utf-8", "surrogatepass"): r["n"] for r in top_rows})
-    model, model_json = train(training, counts, tokenizer_path, end_id)
+    model, model_json = train(training, counts, documents, tokenizer_path, end_id)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

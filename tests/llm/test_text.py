@@ -235,3 +235,23 @@ def test_each_token_is_scored_once_and_causally():
     after = attention.log_probabilities(p, *attention.windows(changed, offsets, 0, -1)[:2])
     mine = np.flatnonzero(text == 4)
     assert np.allclose(after[mine].ravel()[:40], got[mine].ravel()[:40], atol=1e-6)
+
+
+def test_classes_come_from_all_training_texts(spark):
+    """Neighbours are counted over every word of every text, not over some windows of some."""
+    path, end = P.path("word_bpe_49k.json"), 49407
+    encoder = lm.tok.CachedEncoder(lm.tok.model_text(path), keep_space=False)
+    texts = ["", None, "the cat", " ".join(["the cat sat"] * 60 + ["on the mat"]), *(f"a word{i % 7} the end" for i in range(1_100))]
+    ids = [encoder.tok.encode(t.lower(), add_special_tokens=False).ids for t in texts if t]
+    counts = np.bincount([i for own in ids for i in own], minlength=end + 1)
+    frequent = lm.frequent_tokens(counts, end)
+    row = {int(t): k for k, t in enumerate(frequent)}
+    marks = min(lm.MARKS, len(frequent))
+    want = np.zeros((len(frequent), 2 * marks))
+    for own in ids:
+        for a, b in zip(own, own[1:]):
+            want[row[b], row[a]] += 1
+            want[row[a], marks + row[b]] += 1
+    frame = spark.createDataFrame([(t or "",) for t in texts], "text string").repartition(3)
+    got = lm.neighbours(frame, spark.sparkContext.broadcast(lm.tok.model_text(path)), frequent, end)
+    assert got.sum() > 0 and np.array_equal(got, want)
