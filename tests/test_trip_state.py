@@ -63,3 +63,48 @@ def test_state_is_bounded_by_the_timetable(spark):
 def test_snapshots_have_no_state(spark):
     with pytest.raises(ValueError):
         MartStream(spark, "/nowhere", transit(spark), snapshot="latest_poll", keyed_state=True)
+
+
+class _Calls:
+    """A state of one key that counts the calls to the store."""
+
+    def __init__(self):
+        self.value, self.rows, self.calls = None, [], 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def getListState(self, name, schema):
+        held = _Calls()
+        held.get = lambda: self.called(iter(list(self.rows)))
+        held.appendList = lambda rows: self.called(self.rows.extend(rows))
+        held.clear = lambda: self.called(self.rows.clear())
+        return held
+
+    def called(self, result):
+        self.calls += 1
+        return result
+
+    def get(self):
+        return self.called(self.value)
+
+    def update(self, value):
+        self.value = self.called(value)
+
+
+def test_calls_to_the_store_do_not_grow_with_the_trips_of_a_group():
+    from pyspark.sql import Row
+
+    def run(trips):
+        store, processor = _Calls(), TS.TripProcessor(None, TS.HELD_ROWS)
+        processor.init(store)
+        processor.handleInitialState((0,), Row(trips=[Row(trip_id=f"T{i}", stops=2) for i in range(trips)]), None)
+        out = []
+        for poll in ("p1", "p2", "p3"):
+            rows = [Row(**dict(zip(schemas.RT_TRIP_UPDATES.names, (f"T{i}", None, "S", 1, 5, 6, poll, poll)))) for i in range(trips)]
+            out.append([r["kind"] for r in processor.handleInputRows((0,), iter(rows), None)])
+        assert not store.rows  # three rows for a timetable of two: never aligns again
+        return store.calls, [(kinds.count(TS.NEW), kinds.count(TS.HELD)) for kinds in out]
+
+    few, many = run(2), run(100)
+    assert few[0] == many[0] and many[1] == [(100, 100), (100, 200), (100, 0)]
