@@ -65,3 +65,38 @@ def test_marts_read_rows_once_and_move_sums_only(spark):
     assert len(re.findall(r"FileScan|Scan parquet", plan)) == 1
     exchanged = [re.sub(r"#\d+L?", "", x) for x in re.findall(r"hashpartitioning\(([^)]*)\)", plan)]
     assert exchanged and all("trip_id" not in x for x in exchanged)
+
+
+def test_distinct_trips_gather_no_list_per_trip(spark):
+    """Trips are counted by their first delay minute in a group; no list per (group, trip) is gathered."""
+    from headway.operators.histogram import delay_kpis
+
+    rows = spark.createDataFrame([("r", "a", 1), ("r", "a", 1), ("r", "a", 5), ("r", "b", None), ("r", None, 5), (None, "a", 1)], "route_id string, trip_id string, delay_minutes long")
+    kpis = delay_kpis(rows, ["route_id"])
+    assert "collect_list" not in kpis._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["route_id"], r["stop_event_count"], r["trip_count"], r["median_delay_minutes"]) for r in kpis.collect()} == {("r", 5, 2, 3.0), (None, 1, 1, 1.0)}
+
+
+def test_rows_are_dealt_by_trip_before_windows_multiply_them(spark):
+    """Where no trip is hot, nothing is exchanged by (type, trip) after a row was entered for each type."""
+    from headway.plans import catalog as C
+
+    t = raw_transit(spark, SMOKE)
+    mart = C.events_mart(t)
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    exchanged = [re.sub(r"#\d+L?", "", x) for x in re.findall(r"hashpartitioning\(([^)]*)\)", plan)]
+    assert any(x.startswith("trip_id, ") and "event_type" not in x for x in exchanged)
+    assert not any("trip_id" in x and "event_type" in x for x in exchanged)
+    plain = C.WN.event_window_impact(C.enriched(t), t.event_windows)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, mart.collect()))
+
+
+def test_the_stop_mart_reads_the_route_mart_as_written(spark, monkeypatch):
+    from headway.plans import catalog as C
+
+    made = []
+    route = C.route_perf
+    monkeypatch.setattr(C, "route_perf", lambda t: made.append(1) or route(t))
+    rows, found = C._written_marts(raw_transit(spark, SMOKE))
+    assert made == [1] and {name: got["total_events"] for name, got in found.items()} == dict.fromkeys(found, rows)
+    assert list(found) == ["route_performance", "stop_performance", "route_hour_performance"]
