@@ -100,3 +100,22 @@ def test_the_stop_mart_reads_the_route_mart_as_written(spark, monkeypatch):
     rows, found = C._written_marts(raw_transit(spark, SMOKE))
     assert made == [1] and {name: got["total_events"] for name, got in found.items()} == dict.fromkeys(found, rows)
     assert list(found) == ["route_performance", "stop_performance", "route_hour_performance"]
+
+
+def test_numbers_and_totals_come_from_one_pass(spark):
+    """A group's running and whole sums share one window operator."""
+    from pyspark.sql import functions as F
+
+    from headway.operators.histogram import kpis_of_counts
+    from headway.operators.median import median_count_mean
+    from headway.operators.sequence import sequence_number
+
+    rows = spark.createDataFrame([("a", 1, 1), ("a", 4, 1), ("a", None, 1), ("b", None, 1)], "k string, delay_minutes long, _n long")
+    numbered = sequence_number(rows, "k", [F.asc_nulls_last("delay_minutes")], "seq", "cnt", force_split=False)
+    medians = median_count_mean(rows, ["k"], "delay_minutes", "median", "mean", "n")
+    kpis = kpis_of_counts(rows, ["k"])
+    for df in (numbered, medians, kpis):
+        assert len(re.findall(r"Window \[", df._jdf.queryExecution().optimizedPlan().toString())) == 1
+    assert sorted((r["k"], r["seq"], r["cnt"]) for r in numbered.collect()) == [("a", 1, 3), ("a", 2, 3), ("a", 3, 3), ("b", 1, 1)]
+    assert {(r["k"], r["n"], r["mean"], r["median"]) for r in medians.collect()} == {("a", 3, 2.5, 2.5), ("b", 1, None, None)}
+    assert {(r["k"], r["stop_event_count"], r["median_delay_minutes"]) for r in kpis.collect()} == {("a", 3, 2.5), ("b", 1, None)}
