@@ -2,8 +2,10 @@
 
 What is learned, and from what:
 
-* Word counts over all training documents (grouped on Spark).  They give the base score, and, each
-  distinct word encoded once, how often each subword id follows each class inside words.
+* Word counts over all training documents (grouped on Spark).  They give the base score.
+* Subword ids of all texts, each closed by its end id: one pass encodes them and writes them as a
+  column, and all that is learned or scored by ids reads that.
+* How often each subword id follows each class inside words, in all training documents.
 * Token classes, from the neighbours of the ``FREQUENT`` most frequent tokens in all training documents,
   counted by tasks and summed up on Spark; a table of fixed size comes back.
 * The attention model: it trains on every token of every training document and the end, in the
@@ -70,13 +72,12 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 END, BEGIN, REST = 0, 0, CLASSES - 1
 
 COUNTS = struct_type(word=T.StringType(), n=T.LongType())
-WORDS = struct_type(n=T.LongType(), ids=T.BinaryType())
+IDS = struct_type(ids=T.BinaryType())
 TOKENS = struct_type(token=T.IntegerType(), n=T.LongType())
 WEIGHTS = struct_type(parameter=T.IntegerType(), total=T.DoubleType(), weight=T.LongType())
-SCORED = struct_type(
-    doc_id=T.LongType(), held_out=T.BooleanType(), n_tokens=T.LongType(), n_known=T.LongType(), base=T.DoubleType(), score=T.DoubleType(),
-    rest=T.ArrayType(T.StringType()), rest_n=T.ArrayType(T.LongType()),
-)
+_BASE = dict(doc_id=T.LongType(), held_out=T.BooleanType(), n_tokens=T.LongType(), n_known=T.LongType(), base=T.DoubleType())
+ENCODED = struct_type(**_BASE, ids=T.BinaryType(), rest=T.ArrayType(T.StringType()), rest_n=T.ArrayType(T.LongType()))
+SCORED = struct_type(**_BASE, row=T.LongType(), score=T.DoubleType())
 
 
 def words(text: str) -> list[str]:
@@ -105,24 +106,27 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, COUNTS).groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def encoded_words(counts: DataFrame, model_json: Broadcast) -> DataFrame:
-    """n and the subword ids of every counted word, each encoded once."""
+def _binary(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * 4).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tok.encoder(model_json.value, keep_space=False)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("n"), _binary(*encoder.encode(batch.column("word").to_pylist()))], names=WORDS.names)
 
-    return counts.select("n", "word").mapInArrow(run, WORDS)
+def token_ids(texts: DataFrame, model_json: Broadcast, end_id: int) -> DataFrame:
+    """Subword ids of each text, closed by its end (ids); a frame that has them stays as it is."""
+    if "ids" in texts.columns:
+        return texts.select("ids")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = WordTable(tok.encoder(model_json.value, keep_space=False), np.arange(end_id + 1), end_id)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                ids = table.tokens(*table.look_up(batch.column("text").slice(at, 256).to_pylist()))
+                yield pa.RecordBatch.from_arrays([_binary(*ids)], names=IDS.names)
 
-def _binary(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    raw = ids.astype("<u4")
-    return pa.array([raw[a:b].tobytes() for a, b in zip(offsets, offsets[1:])], pa.binary())
+    return texts.select("text").mapInArrow(run, IDS)
 
 
 def token_counts(encoded: DataFrame, end_id: int, ends: np.ndarray, classes: np.ndarray | None = None) -> np.ndarray:
-    """How often each subword id occurs in the counted words, as (1, ids).
+    """How often each subword id occurs in the texts (ids), as (1, ids); ends don't count.
 
     With ``classes``, how often it follows each class inside a piece, or starts one: (CLASSES + 1, ids).
     At most a row per number reaches the driver, whatever the size of the data.
@@ -131,19 +135,18 @@ def token_counts(encoded: DataFrame, end_id: int, ends: np.ndarray, classes: np.
     size = end_id + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(contexts * size)
+        total, table = np.zeros(contexts * size, np.int64), IdTable(np.arange(size))
         for batch in batches:
-            raw = batch.column("ids").to_pylist()
-            at = np.frombuffer(b"".join(raw), "<u4").astype(np.int64)
-            offsets = np.cumsum([0, *(len(r) // 4 for r in raw)])
-            n = np.repeat(np.asarray(batch.column("n")), np.diff(offsets))
-            if classes is not None:
-                at += size * contexts_of(at, offsets, classes, ends)
-            total += np.bincount(at, n, minlength=len(total))
+            for at in range(0, batch.num_rows, 256):
+                ids, offsets = table.look_up(batch.column("ids").slice(at, 256).to_pylist())
+                places = ids.astype(np.int64)
+                if classes is not None:
+                    places += size * contexts_of(ids, offsets, classes, ends)
+                np.add.at(total, places[ids != end_id], 1)
         found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found].astype(np.int64))], names=TOKENS.names)
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found])], names=TOKENS.names)
 
-    rows = encoded.mapInArrow(run, TOKENS).groupBy("token").agg(F.sum("n").alias("n")).toArrow()
+    rows = encoded.select("ids").mapInArrow(run, TOKENS).groupBy("token").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(contexts * size)
     out[np.asarray(rows["token"])] = np.asarray(rows["n"])
     return out.reshape(contexts, size)
@@ -176,15 +179,15 @@ def neighbours(texts: DataFrame, model_json: Broadcast, frequent: np.ndarray, en
     size = len(frequent) * 2 * marks
     if not size:
         return np.zeros((0, 0))
-    rank = np.zeros(end_id + 1, np.int16)  # from 1; 0: another token or an end
+    rank = np.zeros(end_id + 1, np.int64)  # from 1; 0: another token or an end
     rank[frequent] = np.arange(1, len(frequent) + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordTable(tok.encoder(model_json.value, keep_space=False), rank)
+        table = IdTable(rank)
         total, held, n = np.zeros(size, np.int64), [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                tokens, _ = table.tokens(*table.look_up(batch.column("text").slice(at, 256).to_pylist()))
+                tokens, _ = table.tokens(*table.look_up(batch.column("ids").slice(at, 256).to_pylist()))
                 left, right = tokens[:-1], tokens[1:]  # an end between two texts
                 before, after = (left > 0) & (left <= marks) & (right > 0), (right > 0) & (right <= marks) & (left > 0)
                 held += [(right[before] - 1) * 2 * marks + left[before] - 1, (left[after] - 1) * 2 * marks + marks + right[after] - 1]
@@ -197,7 +200,7 @@ def neighbours(texts: DataFrame, model_json: Broadcast, frequent: np.ndarray, en
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found])], names=TOKENS.names)
 
-    rows = texts.select("text").mapInArrow(run, TOKENS).groupBy("token").agg(F.sum("n").alias("n")).toArrow()
+    rows = token_ids(texts, model_json, end_id).mapInArrow(run, TOKENS).groupBy("token").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size)
     out[np.asarray(rows["token"])] = np.asarray(rows["n"])
     return out.reshape(len(frequent), 2 * marks)
@@ -232,21 +235,37 @@ class Model:
     share: np.ndarray
     ends: np.ndarray
 
-    def windows(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return attention.windows(self.classes[ids], offsets, BEGIN, -1)
-
-    def word_shares(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """log10 of the shares of a word's tokens in their classes, added up; a word starts a piece."""
-        ids = ids.astype(np.int64)
+    def log_shares(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """log10 of the shares of each text's tokens in their classes, added up; an end is all of its class."""
         each = self.share[contexts_of(ids, offsets, self.classes, self.ends), ids].astype(np.float64)
         return _sums(each, offsets)
 
+    def score(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """log10 probability of each text, given by its ids and its end."""
+        inputs, targets, text = attention.windows(self.classes[ids], offsets, BEGIN, -1)
+        by_window = attention.log_probabilities(self.params, inputs, targets).sum(axis=1) / math.log(10)
+        return np.bincount(text, by_window, minlength=len(offsets) - 1) + self.log_shares(ids, offsets)
+
+
+class IdTable:
+    """The classes (or other small numbers) of the tokens of texts that are given by their ids and ends."""
+
+    def __init__(self, classes: np.ndarray):
+        self.classes = classes
+
+    def look_up(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and the offsets of the texts in them."""
+        return np.frombuffer(b"".join(raw), "<u4"), np.cumsum([0, *(len(r) // 4 for r in raw)])
+
+    def tokens(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.classes[ids], offsets
+
 
 class WordTable:
-    """The classes (or other small numbers) of each word's tokens; a word is encoded once."""
+    """The classes (or other numbers) of each word's tokens; a word is encoded once.  ``end`` closes a text."""
 
-    def __init__(self, encoder: tok.CachedEncoder, classes: np.ndarray):
-        self.encoder, self.class_of = encoder, classes.astype(np.uint8 if classes.max(initial=0) < 256 else np.int16)
+    def __init__(self, encoder: tok.CachedEncoder, classes: np.ndarray, end: int = END):
+        self.encoder, self.class_of, self.end = encoder, classes.astype(np.min_scalar_type(classes.max(initial=0))), end
         encoder.max_chunks = ENCODER_CHUNKS
         self.clear()
 
@@ -266,7 +285,7 @@ class WordTable:
             ends.append(len(found))
         new = list(islice(self.numbers, known, None))
         if new:
-            self.add(new, *self.encoder.encode([w.decode("utf-8", "surrogatepass") for w in new]))
+            self.add(new, *self.encoder.encode_words([w.decode("utf-8", "surrogatepass") for w in new]))
         return np.array(found, np.int64), np.array(ends)
 
     def add(self, new: list[bytes], ids: np.ndarray, offsets: np.ndarray) -> None:
@@ -280,36 +299,28 @@ class WordTable:
         before = np.concatenate([[0], np.cumsum(lens)])
         flat = self.classes[np.repeat(begin - before[:-1], lens) + np.arange(before[-1])]
         closed = before[offsets] + np.arange(len(offsets))
-        out = np.full(closed[-1], END, np.int64)
+        out = np.full(closed[-1], self.end, np.int64)
         inside = np.ones(closed[-1], bool)
         inside[closed[1:] - 1] = False
         out[inside] = flat
         return out, closed
 
 
-class ScoreTable(WordTable):
-    """Beside the classes, the shares of a word's tokens in them, and its count if it is a top word."""
+class CountTable(WordTable):
+    """The ids of each word, and its count if it is a top word."""
 
-    def __init__(self, encoder: tok.CachedEncoder, model: Model, top: dict[bytes, int]):
-        self.model, self.top = model, top
-        super().__init__(encoder, model.classes)
+    def __init__(self, encoder: tok.CachedEncoder, end_id: int, top: dict[bytes, int]):
+        self.top = top
+        super().__init__(encoder, np.arange(end_id + 1), end_id)
 
     def clear(self) -> None:
         super().clear()
-        self.share = np.empty(0)
         self.count = np.empty(0, np.int64)
 
     def add(self, new: list[bytes], ids: np.ndarray, offsets: np.ndarray) -> None:
         super().add(new, ids, offsets)
-        self.share = np.concatenate([self.share, self.model.word_shares(ids, offsets)])
         self.count = np.concatenate([self.count, np.array([self.top.get(w, -1) for w in new], np.int64)])
 
-    def score(self, words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """log10 probability of each text by the model."""
-        inputs, targets, text = attention.windows(*self.tokens(words, offsets), BEGIN, -1)
-        by_window = attention.log_probabilities(self.model.params, inputs, targets).sum(axis=1) / math.log(10)
-        return np.bincount(text, by_window, minlength=len(offsets) - 1) + _sums(self.share[words], offsets)
-
 
 def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums of the slices that ``offsets`` bound."""
@@ -337,7 +348,7 @@ def untrained(classes: np.ndarray, counts: np.ndarray, documents: int) -> Model:
     return Model(params, classes, np.zeros((1, 1)), np.zeros(1))
 
 
-def training_groups(table: WordTable, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def training_groups(table: WordTable | IdTable, texts: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Inputs and targets of all windows of whole texts, some texts at a time; each token is a target once."""
     tokens, offsets = table.tokens(*table.look_up(texts))
     first = 0
@@ -357,11 +368,11 @@ def averaged(model: Model, texts: DataFrame, model_json: Broadcast) -> attention
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        table = WordTable(tok.encoder(model_json.value, keep_space=False), model.classes)
+        table = IdTable(model.classes)
         trainer = attention.Trainer(model.params, rate=RATE)
         seen = 0
         for batch in batches:
-            for inputs, targets in training_groups(table, batch.column("text").to_pylist()):
+            for inputs, targets in training_groups(table, batch.column("ids").to_pylist()):
                 trainer.train(inputs, targets, 1, batch=BATCH_WINDOWS)
                 seen += len(inputs)
         if seen:
@@ -369,7 +380,7 @@ def averaged(model: Model, texts: DataFrame, model_json: Broadcast) -> attention
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values), pa.array(np.full(len(values), seen))], names=WEIGHTS.names)
 
     mean = F.sum("total") / F.sum("weight")
-    rows = texts.select("text").mapInArrow(run, WEIGHTS).groupBy("parameter").agg(mean.alias("value")).collect()
+    rows = token_ids(texts, model_json, len(model.classes) - 1).mapInArrow(run, WEIGHTS).groupBy("parameter").agg(mean.alias("value")).collect()
     if not rows:
         return model.params
     values = attention.flat(model.params).astype(np.float64)
@@ -378,19 +389,16 @@ def averaged(model: Model, texts: DataFrame, model_json: Broadcast) -> attention
     return attention.unflat(values, model.params)
 
 
-def train(texts: DataFrame, counts: DataFrame, documents: int, tokenizer_path: str, end_id: int) -> tuple[Model, Broadcast]:
-    """The model learned from ``texts`` (text), ``documents`` rows, whose word counts are ``counts``."""
-    spark = texts.sparkSession
-    model_json = spark.sparkContext.broadcast(tok.model_text(tokenizer_path))
-    encoded = staged(encoded_words(counts, model_json))
+def train(encoded: DataFrame, documents: int, model_json: Broadcast, end_id: int) -> Model:
+    """The model learned from the texts ``encoded`` (ids), ``documents`` rows."""
     ends = piece_ends(tok.encoder(model_json.value, keep_space=False), end_id + 1)
     every = token_counts(encoded, end_id, ends)[0]
     frequent = frequent_tokens(every, end_id)
-    classes = token_classes(every, frequent, neighbours(texts, model_json, frequent, end_id), end_id)
+    classes = token_classes(every, frequent, neighbours(encoded, model_json, frequent, end_id), end_id)
     model = untrained(classes, every, documents)
-    model.params = averaged(model, texts, model_json)
+    model.params = averaged(model, encoded, model_json)
     model.share, model.ends = shares(token_counts(encoded, end_id, ends, classes), classes), ends
-    return model, model_json
+    return model
 
 
 def score(docs: DataFrame, held_out: F.Column, tokenizer_path: str, end_id: int) -> DataFrame:
@@ -411,11 +419,10 @@ def score(docs: DataFrame, held_out: F.Column, tokenizer_path: str, end_id: int)
     short = counts.where(F.char_length("word") <= TOP_WORD_CHARS)
     top_rows = short.orderBy(F.desc("n"), "word").limit(TOP_WORDS).collect()
     top = spark.sparkContext.broadcast({r["word"].encode("utf-8", "surrogatepass"): r["n"] for r in top_rows})
-    model, model_json = train(training, counts, documents, tokenizer_path, end_id)
-    shared = spark.sparkContext.broadcast(model)
+    model_json = spark.sparkContext.broadcast(tok.model_text(tokenizer_path))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ScoreTable(tok.encoder(model_json.value, keep_space=False), shared.value, top.value)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = CountTable(tok.encoder(model_json.value, keep_space=False), end_id, top.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -430,11 +437,23 @@ def score(docs: DataFrame, held_out: F.Column, tokenizer_path: str, end_id: int)
                 ends = np.searchsorted(pair, np.arange(len(offsets)) << 40)
                 rest = pa.array([table.words[w].decode("utf-8", "surrogatepass") for w in (pair & ((1 << 40) - 1)).tolist()], pa.string())
                 lists = [pa.ListArray.from_arrays(ends.astype(np.int32), v) for v in (rest, pa.array(n.astype(np.int64)))]
-                columns = [pa.array(np.diff(offsets) + 1), pa.array(known), pa.array(base), pa.array(table.score(found, offsets))]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), *columns, *lists], names=SCORED.names)
+                columns = [pa.array(np.diff(offsets) + 1), pa.array(known), pa.array(base), _binary(*table.tokens(found, offsets))]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), *columns, *lists], names=ENCODED.names)
+
+    encoded = staged(rows.select("doc_id", "held_out", "text").mapInArrow(encode, ENCODED).withColumn("row", F.monotonically_increasing_id()))
+    shared = spark.sparkContext.broadcast(train(encoded.where(~F.col("held_out")), documents, model_json, end_id))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        table = IdTable(model.classes)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                scores = model.score(*table.look_up(part.column("ids").to_pylist()))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in SCORED.names[:-1]), pa.array(scores)], names=SCORED.names)
 
-    scored = staged(rows.select("doc_id", "held_out", "text").mapInArrow(run, SCORED).withColumn("row", F.monotonically_increasing_id()))
-    others = scored.select("row", F.explode(F.arrays_zip("rest", "rest_n")).alias("w")).select("row", F.col("w.rest").alias("word"), F.col("w.rest_n").alias("k"))
+    scored = staged(encoded.select(*SCORED.names[:-1], "ids").mapInArrow(run, SCORED))
+    others = encoded.select("row", F.explode(F.arrays_zip("rest", "rest_n")).alias("w")).select("row", F.col("w.rest").alias("word"), F.col("w.rest_n").alias("k"))
     c = F.coalesce("n", F.lit(0))
     joined = others.join(counts, "word", "left").groupBy("row")
     added = joined.agg(F.sum(F.col("k") * F.log10((c + 0.5) / F.lit(total))).alias("added"), F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("added_known"))

@@ -36,6 +36,8 @@ _NOT_SIMPLE = re.compile(r"[^\x20-\x7e\n\u00c0-\u00ff]")
 _LETTERS = r"\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _SIMPLE_WITH_SPACE = re.compile(rf" ?[0-9A-Za-z{_LETTERS}]++(?!')|" + _WITH_SPACE.pattern)
 _SIMPLE_WITHOUT_SPACE = re.compile(rf"[0-9A-Za-z{_LETTERS}]++(?!')|" + _WITHOUT_SPACE.pattern)
+#: The same cuts of words that are joined by line feeds; a line feed is a chunk by itself.
+_SIMPLE_WORDS = re.compile(_SIMPLE_WITHOUT_SPACE.pattern + r"|\n")
 _ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _UNSAFE = re.compile(r"[^\S \n][ \n]|[ \n][^\S \n]")
@@ -144,12 +146,31 @@ class ChunkTable:
             ends.append(len(codes))
         if len(self.table) > known:
             self._learn(list(islice(self.table, known, None)))
-        code = np.array(codes, np.int64)
+        return self._gather(np.array(codes, np.int64), ends)
+
+    def _gather(self, code: np.ndarray, ends: np.ndarray | list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of the chunks of that number, and how many lie between two ``ends``."""
         begin, lens = self.start[code], self.start[code + 1] - self.start[code]
         before = np.concatenate([[0], np.cumsum(lens)])
         ids = self.pool[np.repeat(begin - before[:-1], lens) + np.arange(before[-1])]
         return ids, np.diff(before[ends])
 
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, for words without a space or line feed: where the model drops spaces, simple ones are cut in one go."""
+        joined = "\n".join([*words, ""])
+        if self.simple is not _SIMPLE_WITHOUT_SPACE or self.apart is not None or _NOT_SIMPLE.search(joined) or not all(words):
+            return self.encode(words)
+        if len(self.table) > self.max_chunks or self.chars + self.start[len(self.table)] > MAX_HELD:
+            self._clear()
+        known = len(self.table)
+        line = self.table["\n"]
+        code = np.array(list(map(self.table.__getitem__, _SIMPLE_WORDS.findall(_lowered(joined) if self.lower else joined))), np.int64)
+        if len(self.table) > known:
+            self._learn(list(islice(self.table, known, None)))
+        lines = np.flatnonzero(code == line)
+        ids, lens = self._gather(code[code != line], np.concatenate([[0], lines - np.arange(len(lines))]))
+        return ids, np.concatenate([[0], np.cumsum(lens)])
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, offsets of the texts in them)."""
         ids, lens, at = [], [], 0

@@ -255,3 +255,32 @@ def test_classes_come_from_all_training_texts(spark):
     frame = spark.createDataFrame([(t or "",) for t in texts], "text string").repartition(3)
     got = lm.neighbours(frame, spark.sparkContext.broadcast(lm.tok.model_text(path)), frequent, end)
     assert got.sum() > 0 and np.array_equal(got, want)
+
+
+def test_ids_written_once_serve_classes_and_training(spark):
+    """Neighbours, counts and training need no text: they read ids that one pass has written."""
+    path, end = P.path("word_bpe_49k.json"), 49407
+    encoder = lm.tok.CachedEncoder(lm.tok.model_text(path), keep_space=False)
+    texts = ["", "one", "it's 25% don't Über-x42 你好 end ed", *(f"a word{i % 7} the end" for i in range(300))]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    shared = spark.sparkContext.broadcast(lm.tok.model_text(path))
+    ids = lm.token_ids(frame, shared, end).cache()
+    want = [encoder.tok.encode(" ".join(lm.words(t)), add_special_tokens=False).ids + [end] for t in texts]
+    assert [np.frombuffer(r["ids"], "<u4").tolist() for r in ids.collect()] == want
+    ends = lm.piece_ends(encoder, end + 1)
+    counts = lm.token_counts(ids, end, ends)[0]
+    assert counts.tolist() == np.bincount([i for own in want for i in own[:-1]], minlength=end + 1).tolist()
+    frequent = lm.frequent_tokens(counts, end)
+    assert np.array_equal(lm.neighbours(ids, shared, frequent, end), lm.neighbours(frame, shared, frequent, end))
+    model = lm.Model(attention.initial(lm.CLASSES), np.arange(end + 1) % lm.CLASSES, np.zeros((1, 1)), np.zeros(1))
+    model.classes[end] = lm.END
+    a, b = (lm.averaged(model, f, shared) for f in (ids, frame))
+    assert all(np.array_equal(a[k], b[k]) for k in a)
+
+
+def test_words_are_cut_in_one_go():
+    encoder = lm.tok.CachedEncoder(lm.tok.model_text(P.path("word_bpe_49k.json")), keep_space=False)
+    simple = ["it's", "end.", "(a,b)", "x42y", "über-all", "Öl", "o'neil's", "--", "a", "a", "25%", "don't,", "'"]
+    for given in (simple, [*simple, "你好", "a b"], [], ["", "a"]):
+        ids, offsets = encoder.encode_words(given)
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [encoder.tok.encode(w, add_special_tokens=False).ids for w in given]
