@@ -165,3 +165,38 @@ def test_states_name_whole_tables(spark):
         tables.commit(new)
         held = {b: v for b, v in held.items() if b not in touched} | dict.fromkeys(filled, batch)
         assert {r["bucket"]: r["id"] for r in tables.read("t", schema, tables.state()).collect()} == held
+
+
+def test_group_rows_are_counted_where_their_trip_lies(spark):
+    """Cells equal plain counts, and rows multiplied by their groups are not shuffled by group and trip."""
+    from headway.streaming.marts import DELAY, GROUP, delay_cells
+
+    t = transit(spark)
+    rng = random.Random(4)
+    rows = []
+    for _ in range(300):
+        trip, stop, at = rng.randrange(6), rng.randrange(1, 4), dt.datetime(2024, 1, 1, rng.randrange(8, 12), rng.randrange(60))
+        rows.append((f"T{trip}", f"R{trip % 3}", 0, "S", 0, 1, "S", str(stop), f"stop {stop}", at.date(), at, at, rng.randrange(-2, 4), rng.choice((-1, 1))))
+    names = [f.name for f in DELAY if f.name != "bucket"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in DELAY if f.name != "bucket") + ", sign int"
+    frame = spark.createDataFrame(rows, schema).repartition(5)
+    minutes, now, then = {}, set(), set()
+    for r in rows:
+        r = dict(zip([*names, "sign"], r))
+        day = r["actual_arrival_local_ts"]
+        for g in (("route_performance", r["route_id"]), ("stop_performance", r["static_stop_id"], r["stop_name"], r["route_id"]), ("route_hour_performance", r["route_id"], str(day.hour))):
+            g = (*g, None, None, None, None)[:5]
+            minutes[g, r["delay_minutes"]] = minutes.get((g, r["delay_minutes"]), 0) + r["sign"]
+            (now if r["sign"] > 0 else then).add((g, r["trip_id"]))
+    trips = {}
+    for g, trip in now | then:
+        trips[g] = trips.get(g, 0) + ((g, trip) in now) - ((g, trip) in then)
+    want = {(*g, "delay", m): n for (g, m), n in minutes.items() if n} | {(*g, "trips", None): n for g, n in trips.items() if n}
+    found = [sorted(map(tuple, delay_cells(frame, t, by_trip).collect()), key=str) for by_trip in (False, True)]
+    assert found[0] == found[1]
+    marts = {"route_performance", "stop_performance", "route_hour_performance"}
+    got = {r[: len(GROUP) + 2]: r[-1] for r in found[1] if r[0] in marts}
+    assert got == want and len(want) > 50
+    plan = delay_cells(frame, t, True)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "hashpartitioning(" in line and "trip_id" in line.split("hashpartitioning(")[1]]
+    assert moved and all(line.split("hashpartitioning(")[1].startswith("trip_id") for line in moved)
