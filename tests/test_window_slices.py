@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from headway import schemas
 from headway.functions.timefn import hms_seconds, wall_micros, wall_seconds
+from headway.operators.extracts import alert_share_metrics
 from headway.operators.windows import covered_rows, interval_join_theta
 
 T = dt.datetime
@@ -53,6 +54,15 @@ def test_rows_do_not_meet_instants_again(spark):
     assert "collect_list" not in plan and "Join" not in plan and "Window" in plan
 
 
+def test_alert_share_reads_the_mart_once(spark):
+    data = [("police", True, 3, 30.0), ("police", False, 7, 0.0), (None, True, 2, 50.0), ("none", False, 4, 0.0)]
+    cols = "alert_type string, in_alert_window boolean, stop_event_count long, pct_rows_associated_with_alerts double"
+    share = alert_share_metrics(spark.createDataFrame(data, cols))
+    assert [tuple(r) for r in share.collect()] == [(5, 50.0, 2)]
+    assert plan_of(share).split("== Initial Plan ==")[0].count("Scan ExistingRDD") == 1
+    assert [tuple(r) for r in alert_share_metrics(spark.createDataFrame([], cols)).collect()] == [(0, 0.0, 0)]
+
+
 def test_wall_clock_numbers(spark):
     times = [T(1969, 12, 31, 23, 59, 59, 500_000), T(2024, 3, 10, 2, 30, 1, 999_999), T(1600, 2, 3, 4, 5, 6, 7), None]
     df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
