@@ -200,3 +200,16 @@ def test_group_rows_are_counted_where_their_trip_lies(spark):
     plan = delay_cells(frame, t, True)._jdf.queryExecution().executedPlan().toString()
     moved = [line for line in plan.splitlines() if "hashpartitioning(" in line and "trip_id" in line.split("hashpartitioning(")[1]]
     assert moved and all(line.split("hashpartitioning(")[1].startswith("trip_id") for line in moved)
+
+
+def test_rows_are_summed_before_they_are_multiplied_by_their_groups(spark):
+    from headway.streaming.marts import DELAY, delay_cells
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in DELAY if f.name != "bucket") + ", sign int"
+    plan = delay_cells(spark.createDataFrame([], schema).repartition(2), transit(spark), True)._jdf.queryExecution().optimizedPlan().toString()
+    nodes = [line.lstrip(" :+-") for line in plan.splitlines()]
+    of_marts = [i for i, node in enumerate(nodes) if node.startswith("Generate explode") and "weather_impact" in node]
+    assert len(of_marts) >= 2
+    for i in of_marts:
+        below = next(node for node in nodes[i + 1 :] if not node.startswith(("Project", "Filter")))
+        assert below.startswith("Aggregate"), below
